@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -66,16 +67,11 @@ def parse_bound(text: str | None) -> Column | None:
     """A range bound given as a job argument: checked once, then a literal that pushes down."""
     if text is None:
         return None
-    import re
-
     match = re.match(ISO_DATE_TIME.replace(r"\z", r"\Z"), text)
     if not match:
         raise ValueError(f"Invalid date time, ISO expected: {text!r}")
-    date, time = match.groups()
-    if "." in time:
-        seconds, fraction = time.split(".")
-        time = f"{seconds}.{fraction[:6]}"
-    return F.lit(f"{date}T{time}").cast("timestamp_ntz") if datetime.fromisoformat(f"{date}T{time}") else None
+    local = datetime.fromisoformat("T".join(match.groups()))
+    return F.lit(local.isoformat()).cast("timestamp_ntz")
 
 
 def run_time(run_ts: datetime | str) -> Column:

@@ -15,7 +15,13 @@ from relist.functions.strings import regex_capture
 
 
 def json_parse(text: Column) -> Column:
-    return F.try_parse_json(text)
+    """Text as one JSON value, null where it is not exactly one.
+
+    The parser stops after the first complete value, so the text is read as the only
+    element of a list: anything left over then breaks the list or makes a second element.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(json_path(wrapped, "$[1]").isNull(), json_path(wrapped, "$[0]"))
 
 
 def json_path(v: Column, path: str, type_name: str = "variant") -> Column:

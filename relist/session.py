@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Calendar arithmetic is local-time arithmetic, so the zone is pinned; skewed
 # joins are split by AQE even where that costs one more exchange; page texts are
-# large, so Arrow batches towards Python are kept short.
+# large, so Arrow batches towards Python are kept short; a repeated JSON key keeps its
+# last value instead of failing the page.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
