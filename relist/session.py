@@ -61,12 +61,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/relist/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str, stage: str | None = None) -> DataFrame:
     """Write a stage to the shared folder and read it back.
 
     Cuts lineage and keeps an expensive stage from running once per consumer; the
-    files outlive any executor.
+    files outlive any executor. `stage` groups the stages of one job for release().
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{stage}/{name}-{uuid.uuid4().hex}" if stage else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, stage: str) -> None:
+    """Remove the stage tables of a finished job."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

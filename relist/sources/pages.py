@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relist.functions.dates import parse_bound
+from relist.functions.dates import parse_bound, ts_to_epoch_ms
 from relist.functions.strings import hex_id
 from relist.schemas import RAW_PAGE, SOURCES
 
@@ -61,7 +61,7 @@ def _land(pages: DataFrame, source: str | Column, captured_at: Column | None) ->
     return (
         pages.withColumn("source", name)
         .withColumn("captured_at", F.date_trunc("millisecond", captured))
-        .withColumn("raw_page_id", hex_id(F.col("source"), F.col("page"), F.col("captured_at")))
+        .withColumn("raw_page_id", hex_id(F.col("source"), F.col("page"), ts_to_epoch_ms(F.col("captured_at"))))
     )
 
 
