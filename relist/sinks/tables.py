@@ -47,7 +47,13 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Append one batch. Running the batch again replaces its folder."""
+    """Append one batch. Running the batch again replaces its folder.
+
+    Rows are rebalanced by the partition columns: small partitions get one file each, and
+    a partition with much of the data is split over several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
