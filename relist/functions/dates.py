@@ -24,18 +24,11 @@ def relative_age_to_ts(text: Column, captured_at: Column) -> Column:
     Months are calendar months and clamp at the month end.
     """
     age = lower(trim_java(text))
-    n = parse_int(regex_capture(age, AGE_PATTERN, 1))
-    unit = regex_capture(age, AGE_PATTERN, 2)
-
-    def amount(name: str) -> Column:
-        return F.when(unit == name, n).otherwise(F.lit(0))
-
-    # try_* because a huge amount runs past the first representable date.
-    step = F.try_make_interval(
-        F.lit(0), amount("month"), amount("week"), amount("day"),
-        amount("hour"), amount("minute"), amount("second").cast("decimal(18,6)"),
-    )
-    return F.when(n.isNotNull(), F.try_subtract(captured_at, step))
+    n, unit = F.regexp_extract(age, AGE_PATTERN, 1), F.regexp_extract(age, AGE_PATTERN, 2)
+    # Without a match both are empty, which is no interval; try_subtract because a huge
+    # amount runs past the first representable date.
+    step = F.concat(n, F.lit(" "), unit).try_cast("interval")
+    return F.when(parse_int(n).isNotNull(), F.try_subtract(captured_at, step))
 
 
 def epoch_s_to_ts(c: Column) -> Column:

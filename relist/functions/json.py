@@ -14,14 +14,22 @@ from pyspark.sql import functions as F
 from relist.functions.strings import regex_capture
 
 
-def json_parse(text: Column) -> Column:
-    """Text as one JSON value, null where it is not exactly one.
+def json_list(text: Column) -> Column:
+    """Text parsed as the only element of a list.
 
-    The parser stops after the first complete value, so the text is read as the only
-    element of a list: anything left over then breaks the list or makes a second element.
+    The parser stops after the first complete value. Inside a list, anything left over
+    breaks the list or makes a second element, see is_single.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(json_path(wrapped, "$[1]").isNull(), json_path(wrapped, "$[0]"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def is_single(v: Column) -> Column:
+    return json_path(v, "$[0]").isNotNull() & json_path(v, "$[1]").isNull()
+
+
+def json_parse(text: Column) -> Column:
+    """Text as one JSON value, null where it is not exactly one."""
+    return F.when(is_single(json_list(text)), json_path(json_list(text), "$[0]"))
 
 
 def json_path(v: Column, path: str, type_name: str = "variant") -> Column:

@@ -60,10 +60,10 @@ def run_records(tagged: DataFrame) -> DataFrame:
 def run_page_ids(tagged: DataFrame, errors: DataFrame, by: str = "raw_page_id") -> DataFrame:
     """Id lists per page, sorted. A page is one stored text, so its lists are as small."""
     outcome, ident = F.col("outcome"), F.col("posting_id")
-    ids = tagged.groupBy(by).agg(
+    ids = tagged.select(by, "outcome", "posting_id").repartition(by).groupBy(by).agg(
         F.sort_array(F.collect_list(F.when(outcome.isin(NEW, REPOSTED), ident))).alias("new_ids"),
         F.sort_array(F.collect_list(F.when(outcome == EXISTING, ident))).alias("existing_ids"))
-    failed = errors.groupBy(by).agg(F.sort_array(F.collect_list("error_id")).alias("error_ids"))
+    failed = errors.select(by, "error_id").repartition(by).groupBy(by).agg(F.sort_array(F.collect_list("error_id")).alias("error_ids"))
     empty = F.array().cast("array<string>")
     return ids.join(failed, by, "full").select(
         by, *[F.coalesce(c, empty).alias(c) for c in ("new_ids", "existing_ids", "error_ids")])

@@ -5,9 +5,11 @@ The sightings of a key, in arrival order, open a first episode; one dated at lea
 dated earlier) belong to the current one. The gap counts from the episode start, not from
 the previous sighting, so this is a fold and not a lag.
 
-Only the first arrival of each distinct date can start an episode, which lets the
-sightings be reduced by partial aggregation before a key comes together, and a key has at
-most one start per gap of calendar time, which bounds the result per key.
+Keys of ordinary size are folded in one shuffle of their arrivals. A key with more
+sightings than the limit is first reduced to the first arrival of each distinct date (only
+those can start an episode), and if it is still too large its starts are found one after
+the other by distributed minima. A key has at most one start per gap of calendar time, which
+bounds what is kept per key.
 """
 
 from __future__ import annotations
@@ -20,13 +22,10 @@ from pyspark.sql import functions as F
 from relist import schemas as S
 from relist.functions.dates import days
 from relist.operators.reconcile import EXISTING, NEW, REPOSTED, posting_id
+from relist.operators.skew import KEY_LIMIT, join_unique, larger_keys
 from relist.session import materialize
 from relist.sources.tables import latest_postings
 
-# Keys with more distinct dates than this are walked start by start instead of folded.
-FOLD_LIMIT = 200_000
-
-
 def _arrival() -> Column:
     return F.struct(*S.ARRIVAL)
 
@@ -57,8 +56,13 @@ def _stored_starts(stored: DataFrame | None, sightings: DataFrame) -> DataFrame
         *S.KEYS, F.col("posting_date").alias("stored_date"), F.col("posting_id").alias("stored_id"))
 
 
-def _fold(firsts: DataFrame, stored: DataFrame | None, gap_days: int, kind: str) -> DataFrame:
-    per_key = firsts.groupBy(*S.KEYS).agg(F.sort_array(F.collect_list("arrival")).alias("arrivals"))
+def _arrivals(sightings: DataFrame) -> DataFrame:
+    return sightings.select(*S.KEYS, _arrival().alias("arrival"))
+
+
+def _fold(arrivals: DataFrame, stored: DataFrame | None, gap_days: int, kind: str) -> DataFrame:
+    # Lists do not shrink before the shuffle, so the rows are moved as they are.
+    per_key = arrivals.repartition(*S.KEYS).groupBy(*S.KEYS).agg(F.sort_array(F.collect_list("arrival")).alias("arrivals"))
     empty = F.array().cast(kind)
     before = empty
     if stored is not None:
@@ -112,25 +116,29 @@ def _walk(firsts: DataFrame, stored: DataFrame | None, gap_days: int, kind: str,
     return starts.select(*S.KEYS, F.col("starts").cast(kind))
 
 
+def _starts(sightings: DataFrame, stored: DataFrame | None, gap_days: int, fold_limit: int, stage: str | None,
+            large: DataFrame | None) -> DataFrame:
+    kind, latest = _start_type(sightings), _stored_starts(stored, sightings)
+    if large is None:
+        return _fold(_arrivals(sightings), latest, gap_days, kind)
+    starts = _fold(_arrivals(sightings.join(large, S.KEYS, "left_anti")), latest, gap_days, kind)
+    firsts = materialize(first_arrivals(sightings.join(large, S.KEYS, "left_semi")), "first-arrivals", stage)
+    still_large = larger_keys(firsts, S.KEYS, fold_limit, stage)
+    if still_large is None:
+        return starts.unionByName(_fold(firsts.select(*S.KEYS, "arrival"), latest, gap_days, kind))
+    reduced = firsts.join(still_large, S.KEYS, "left_anti").select(*S.KEYS, "arrival")
+    walked = _walk(firsts.join(still_large, S.KEYS, "left_semi"), latest, gap_days, kind, stage)
+    return starts.unionByName(_fold(reduced, latest, gap_days, kind)).unionByName(walked)
+
+
 def episode_starts(sightings: DataFrame, stored: DataFrame | None = None, gap_days: int = S.REPOST_GAP_DAYS,
-                   fold_limit: int = FOLD_LIMIT, stage: str | None = None) -> DataFrame:
+                   fold_limit: int = KEY_LIMIT, stage: str | None = None) -> DataFrame:
     """Per key, the array of episode starts in order, the stored one first if there is one."""
-    kind = _start_type(sightings)
-    firsts, latest = first_arrivals(sightings), _stored_starts(stored, sightings)
-    if sightings.count() <= fold_limit:
-        return _fold(firsts, latest, gap_days, kind)
-    firsts = materialize(firsts, "first-arrivals", stage)
-    large = materialize(
-        firsts.groupBy(*S.KEYS).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_limit).select(*S.KEYS),
-        "large-keys", stage)
-    if large.isEmpty():
-        return _fold(firsts, latest, gap_days, kind)
-    folded = _fold(firsts.join(large, S.KEYS, "left_anti"), latest, gap_days, kind)
-    walked = _walk(firsts.join(large, S.KEYS, "left_semi"), latest, gap_days, kind, stage)
-    return folded.unionByName(walked)
-
-
-def tag_sightings(sightings: DataFrame, starts: DataFrame) -> DataFrame:
+    return _starts(sightings, stored, gap_days, fold_limit, stage, larger_keys(sightings, S.KEYS, fold_limit, stage))
+
+
+def posting_episodes(sightings: DataFrame, stored: DataFrame | None = None, gap_days: int = S.REPOST_GAP_DAYS,
+                     fold_limit: int = KEY_LIMIT, stage: str | None = None) -> DataFrame:
     """Every sighting with its outcome, posting id, episode start and repost index.
 
     The outcome is what the sighting met when it arrived: the first of an unseen key is
@@ -138,7 +146,11 @@ def tag_sightings(sightings: DataFrame, starts: DataFrame) -> DataFrame:
     """
     arrived = F.filter("starts", lambda s: s["arrival"].isNull() | (s["arrival"] <= _arrival()))
     opens = F.col("_at.arrival").isNotNull() & (F.col("_at.arrival") == _arrival())
-    tagged = sightings.join(starts, S.KEYS, "inner").withColumn("_arrived", arrived).drop("starts")
+    large = larger_keys(sightings, S.KEYS, fold_limit, stage)
+    starts = _starts(sightings, stored, gap_days, fold_limit, stage, large)
+    joined = sightings.join(starts, S.KEYS) if large is None else join_unique(
+        sightings, starts, S.KEYS, stage=stage, large=large)
+    tagged = joined.withColumn("_arrived", arrived).drop("starts")
     return (
         tagged.withColumn("_at", F.element_at("_arrived", -1))
         .withColumn("repost_index", F.size("_arrived") - 1)
@@ -150,11 +162,6 @@ def tag_sightings(sightings: DataFrame, starts: DataFrame) -> DataFrame:
         .drop("_arrived", "_at"))
 
 
-def posting_episodes(sightings: DataFrame, stored: DataFrame | None = None, gap_days: int = S.REPOST_GAP_DAYS,
-                     fold_limit: int = FOLD_LIMIT, stage: str | None = None) -> DataFrame:
-    return tag_sightings(sightings, episode_starts(sightings, stored, gap_days, fold_limit, stage))
-
-
 def posting_timeline(tagged: DataFrame) -> DataFrame:
     """One row per episode of a key: its start, its place in the sequence, and how many
     further dates were seen, with the range they span."""

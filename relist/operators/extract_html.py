@@ -6,16 +6,21 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import relist
 from relist import schemas as S
 from relist.functions.arrays import map_trim_set, singleton_set
 from relist.functions.dates import relative_age_to_ts
 from relist.functions.strings import build_url, strip_prefix, trim_java
 from relist.operators.html_elements import Page, compile_path
 
+# The helper travels with the UDF, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(relist)
+
 
 class HtmlField(NamedTuple):
     """A value read inside each matched element.
@@ -66,8 +71,10 @@ def extract_html(df: DataFrame, root: str, fields: Sequence[HtmlField], content:
     """
     others = [c for c in df.columns if c != content]
     found = df.select(*others, html_rows(F.col(content), root, fields).alias("_rows"))
-    return (found.select(*others, F.posexplode("_rows").alias("ordinal", "_row"))
-            .select(*others, "ordinal", "_row.*"))
+    # The outer form with a filter behind it: for the inner form the optimizer adds a filter
+    # on the array in front, and the extractor would run for that as well.
+    return (found.select(*others, F.posexplode_outer("_rows").alias("ordinal", "_row"))
+            .where(F.col("ordinal").isNotNull()).select(*others, "ordinal", "_row.*"))
 
 
 def html_select_all(content: Column, css: str, what: str = "text") -> Column:

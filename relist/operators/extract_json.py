@@ -8,23 +8,31 @@ from pyspark.sql import functions as F
 from relist import schemas as S
 from relist.functions.arrays import map_trim_set
 from relist.functions.dates import epoch_s_to_ts
-from relist.functions.json import json_long, json_parse, json_path, json_string, json_string_set
+from relist.functions.json import is_single, json_list, json_long, json_path, json_string, json_string_set
 from relist.functions.strings import build_url, trim_java
 
 PAGE_COLUMNS = ["raw_page_id", "source", "page", "captured_at"]
 
 
+def _parsed(raw_pages: DataFrame) -> DataFrame:
+    """Each page parsed once, as the only element of a list (see json_parse)."""
+    parsed = raw_pages.where(F.col("content").isNotNull()).select(*PAGE_COLUMNS, json_list(F.col("content")).alias("_list"))
+    return parsed.withColumn("invalid", ~is_single(F.col("_list")))
+
+
 def explode_json_items(raw_pages: DataFrame) -> DataFrame:
     """Listings of each page in order, or one item without a listing for an unreadable page.
 
-    Each page is parsed once. Only the first result counts; absent, empty or mistyped
-    hits give no rows, and so does a page without content.
+    Only the first result counts; absent, empty or mistyped hits give no rows, and so does
+    a page without content.
     """
-    parsed = raw_pages.where(F.col("content").isNotNull()).withColumn("_doc", json_parse(F.col("content")))
-    hits = json_path(F.col("_doc"), S.HITS_PATH, "array<variant>")
-    item = parsed.select(*PAGE_COLUMNS, F.when(F.col("_doc").isNull(), F.array(F.lit(None).cast("variant")))
-                         .otherwise(hits).alias("_hits"), F.col("_doc").isNull().alias("invalid"))
-    return item.select(*PAGE_COLUMNS, "invalid", F.posexplode("_hits").alias("ordinal", "hit"))
+    hits = json_path(F.col("_list"), S.HITS_PATH.replace("$", "$[0]"), "array<variant>")
+    none = F.array(F.lit(None).cast("variant"))
+    # The outer form keeps the optimizer from parsing once more for a filter in front of it.
+    return (
+        _parsed(raw_pages)
+        .select(*PAGE_COLUMNS, "invalid", F.posexplode_outer(F.when(F.col("invalid"), none).otherwise(hits)).alias("ordinal", "hit"))
+        .where(F.col("ordinal").isNotNull()))
 
 
 def explode_json_hits(raw_pages: DataFrame) -> DataFrame:
@@ -33,8 +41,7 @@ def explode_json_hits(raw_pages: DataFrame) -> DataFrame:
 
 def json_invalid_page(raw_pages: DataFrame) -> DataFrame:
     """One error per page that is not JSON: empty fragment, one message."""
-    parsed = raw_pages.where(F.col("content").isNotNull() & json_parse(F.col("content")).isNull())
-    return parsed.select(*PAGE_COLUMNS, F.lit("").alias("raw_fragment"), _invalid_message().alias("page_error"))
+    return _parsed(raw_pages).where("invalid").select(*PAGE_COLUMNS, F.lit("").alias("raw_fragment"), _invalid_message().alias("page_error"))
 
 
 def _invalid_message():

@@ -7,9 +7,8 @@ helper scans tags once and answers class/id/tag paths with descendant and child
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from html import unescape
-from typing import NamedTuple
 
 # Fixed values of HTML itself.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -18,83 +17,113 @@ INLINE = set("a abbr b bdi bdo cite code data dfn em font i img input kbd label
              "strike strong sub sup textarea time tt u var wbr".split())
 ENDS_WITH_SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                      "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+PARAGRAPH = {"p"}
 CLOSES_PARAGRAPH = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                        "nav ol p pre section table ul".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-SIMPLE = re.compile(r"([#.]?)([\w-]+)")
+MARKED = re.compile(r"\b(?:class|id)\s*=", re.I)
+SIMPLE = re.compile(r"[#.]?[\w-]+")
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
 
-class Element(NamedTuple):
-    tag: str
-    attrs: dict[str, str]
-    parent: int
-    start: int
-
-
 class Page:
     """Elements in document order, so that a subtree is the run [i, last[i]]."""
 
     def __init__(self, html: str):
-        self.html, self.elements, self.last, self.end, self.texts = html, [], [], [], []
+        self.html, self.texts = html, []
+        self.tag, self.parent, self.start, self.end, self.last, self.attributes = [], [], [], [], [], []
+        # Positions of the elements with a tag, '#id' or '.class', to look paths up by.
+        self.found: dict[str, list[int]] = {}
         stack, pos = [], 0
-        while token := TOKEN.search(html, pos):
-            self._text(pos, token.start(), stack)
-            pos, tag = token.end(), (token[2] or "").lower()
-            if tag and token[1]:
-                depth = next((d for d in reversed(range(len(stack))) if self.elements[stack[d]].tag == tag), None)
-                while depth is not None and len(stack) > depth:
-                    self._close(stack, pos if len(stack) == depth + 1 else token.start())
-            elif tag:
-                self._close_implied(stack, tag, token.start())
-                attrs = {}
-                for a in ATTRIBUTE.finditer(token[3]):
-                    attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
-                self.elements.append(Element(tag, attrs, stack[-1] if stack else -1, token.start()))
-                self.last.append(len(self.elements) - 1)
-                self.end.append(pos)
-                if tag in RAW_TEXT:
-                    closing = re.compile(f"</{tag}[\\s/>]", re.I).search(html, pos)
-                    stop = closing.start() if closing else len(html)
-                    if tag in ("textarea", "title"):
-                        self._text(pos, stop, [*stack, len(self.elements) - 1])
-                    pos = stop
-                if tag not in VOID:
-                    stack.append(len(self.elements) - 1)
-        self._text(pos, len(html), stack)
+        while pos is not None:
+            pos = self._scan(stack, pos)
         while stack:
             self._close(stack, len(html))
 
-    def _text(self, start: int, stop: int, stack: list[int]) -> None:
-        if stop > start and stack:
-            self.texts.append((start, stack[-1], self.html[start:stop]))
+    def _scan(self, stack: list[int], pos: int) -> int | None:
+        """Read tags from `pos` on, up to the end (None) or behind a raw text element."""
+        html, tags, texts = self.html, self.tag, self.texts
+        for token in TOKEN.finditer(html, pos):
+            at = token.start()
+            if at > pos and stack:
+                texts.append((pos, stack[-1], html[pos:at]))
+            pos = token.end()
+            closing, tag, attributes = token.groups()
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if closing:
+                depth = len(stack) - 1
+                while depth >= 0 and tags[stack[depth]] != tag:
+                    depth -= 1
+                while 0 <= depth < len(stack):
+                    self._close(stack, pos if len(stack) == depth + 1 else at)
+                continue
+            ends = ENDS_WITH_SIBLING.get(tag) or (PARAGRAPH if tag in CLOSES_PARAGRAPH else None)
+            while ends and stack and tags[stack[-1]] in ends:
+                self._close(stack, at)
+            i = self._open(stack, tag, attributes, at, pos)
+            if tag in RAW_TEXT:
+                found = re.compile(f"</{tag}[\\s/>]", re.I).search(html, pos)
+                stop = found.start() if found else len(html)
+                if tag in ("textarea", "title"):
+                    texts.append((pos, i, html[pos:stop]))
+                return stop
+        if stack:
+            texts.append((pos, stack[-1], html[pos:]))
+        return None
+
+    def _open(self, stack: list[int], tag: str, attributes: str, at: int, pos: int) -> int:
+        i, found = len(self.tag), self.found
+        self.tag.append(tag)
+        self.parent.append(stack[-1] if stack else -1)
+        self.start.append(at)
+        self.end.append(pos)
+        self.last.append(i)
+        self.attributes.append(attributes)
+        found.setdefault(tag, []).append(i)
+        if attributes and MARKED.search(attributes):
+            attrs = self.attrs(i)
+            for name in set(attrs.get("class", "").split()):
+                found.setdefault("." + name, []).append(i)
+            if "id" in attrs:
+                found.setdefault("#" + attrs["id"], []).append(i)
+        if tag not in VOID:
+            stack.append(i)
+        return i
+
+    def attrs(self, i: int) -> dict[str, str]:
+        """Attributes of an element; of a repeated one the first counts."""
+        attrs: dict[str, str] = {}
+        for name, double, single, bare in ATTRIBUTE.findall(self.attributes[i]):
+            value = double or single or bare
+            attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        return attrs
 
     def _close(self, stack: list[int], pos: int) -> None:
         i = stack.pop()
-        self.last[i], self.end[i] = len(self.elements) - 1, pos
-
-    def _close_implied(self, stack: list[int], tag: str, pos: int) -> None:
-        ends = ENDS_WITH_SIBLING.get(tag) or ({"p"} if tag in CLOSES_PARAGRAPH else ())
-        while stack and self.elements[stack[-1]].tag in ends:
-            self._close(stack, pos)
+        self.last[i], self.end[i] = len(self.tag) - 1, pos
 
     def select(self, path: list, root: int | None = None) -> list[int]:
         """Elements of the subtree of `root` (of the page if None) that match a path."""
-        first, stop = (0, len(self.elements) - 1) if root is None else (root, self.last[root])
-        return [i for i in range(first, stop + 1) if self._matches(i, path, len(path) - 1, first if root is not None else -1)]
-
-    def _matches(self, i: int, path: list, step: int, root: int) -> bool:
-        child, tag, ident, classes = path[step]
-        e = self.elements[i]
-        if (tag and e.tag != tag) or (ident and e.attrs.get("id") != ident):
-            return False
-        if classes and not classes <= set(e.attrs.get("class", "").split()):
-            return False
+        lists = [self.found.get(name, ()) for name in path[-1][1]]
+        candidates = min(lists, key=len) if lists else range(len(self.tag))
+        if root is not None:
+            candidates = candidates[bisect_left(candidates, root):bisect_right(candidates, self.last[root])]
+        return [i for i in candidates if self._matches(i, path, len(path) - 1, root)]
+
+    def _matches(self, i: int, path: list, step: int, root: int | None) -> bool:
+        child, names = path[step]
+        for name in names:
+            holders = self.found.get(name, ())
+            k = bisect_left(holders, i)
+            if k == len(holders) or holders[k] != i:
+                return False
         if step == 0:
             return True
-        while i != root and (i := self.elements[i].parent) >= 0:
+        while i != root and (i := self.parent[i]) >= 0:
             if self._matches(i, path, step - 1, root):
                 return True
             if child:
@@ -103,32 +132,34 @@ class Page:
 
     def text(self, i: int) -> str:
         """Text of the subtree, blanks collapsed, blocks and line breaks set apart."""
-        start, stop, parts = self.elements[i].start, self.end[i], []
-        breaks = [e.start for e in self.elements[i + 1:self.last[i] + 1] if e.tag not in INLINE]
-        breaks += [self.end[j] for j in range(i + 1, self.last[i] + 1) if self.elements[j].tag not in INLINE]
-        for at, owner, chunk in self.texts[bisect_left(self.texts, (start,)):bisect_left(self.texts, (stop,))]:
-            if i <= owner <= self.last[i]:
-                parts.append((at, unescape(chunk)))
-        parts += [(at, " ") for at in breaks]
-        return SPACES.sub(" ", "".join(p for _, p in sorted(parts, key=lambda p: (p[0], p[1] != " ")))).strip(" ")
+        texts, last = self.texts, self.last[i]
+        first = bisect_left(texts, (self.start[i],))
+        parts = []
+        for at, owner, chunk in texts[first:bisect_left(texts, (self.end[i],), first)]:
+            if i <= owner <= last:
+                parts.append((at, 1, unescape(chunk) if "&" in chunk else chunk))
+        if last > i:
+            for j in range(i + 1, last + 1):
+                if self.tag[j] not in INLINE:
+                    parts += [(self.start[j], 0, " "), (self.end[j], 0, " ")]
+            parts.sort()
+        return SPACES.sub(" ", "".join(p[2] for p in parts)).strip(" ")
 
     def read(self, i: int, what: str) -> str:
         if what == "text":
             return self.text(i)
         if what == "outer":
-            return self.html[self.elements[i].start:self.end[i]]
-        return self.elements[i].attrs.get(what.removeprefix("@"), "")
+            return self.html[self.start[i]:self.end[i]]
+        return self.attrs(i).get(what[1:], "")
 
 
 def compile_path(css: str) -> list:
-    """'#jobs div.job > a' as steps (is child step, tag, id, classes)."""
+    """'#jobs div.job > a' as steps of (is child step, names the element must have)."""
     steps, child = [], False
     for word in css.replace(">", " > ").split():
         if word == ">":
             child = True
             continue
-        parts = SIMPLE.findall(word)
-        steps.append((child, *(next((v for k, v in parts if k == kind), None) for kind in ("", "#")),
-                      {v for k, v in parts if k == "."}))
+        steps.append((child, SIMPLE.findall(word)))
         child = False
     return steps

@@ -11,6 +11,7 @@ from relist import schemas as S
 from relist.functions.arrays import append
 from relist.functions.dates import at_least_n_days_after, run_time, ts_to_epoch_ms
 from relist.functions.strings import hex_id
+from relist.operators.skew import join_unique
 from relist.sources.tables import latest_postings
 
 NEW, EXISTING, REPOSTED = "new", "existing", "reposted"
@@ -34,10 +35,9 @@ def is_repost(gap_days: int) -> Column:
 def reconcile_left_join(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Batch rows with the latest stored posting of their key, if any.
 
-    The stored side holds one row per key, so a key that fills the batch multiplies
-    nothing, and its partition can be split by the adaptive skew join.
+    The stored side holds one row per key; a key that fills the batch is taken apart.
     """
-    return batch.join(_stored_side(stored), S.KEYS, "left")
+    return join_unique(batch, _stored_side(stored), S.KEYS, "left")
 
 
 def new_postings(batch: DataFrame, stored: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def new_postings(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def matched_postings(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    return batch.join(_stored_side(stored), S.KEYS, "inner")
+    return join_unique(batch, _stored_side(stored), S.KEYS)
 
 
 def reposted_postings(batch: DataFrame, stored: DataFrame, gap_days: int = S.REPOST_GAP_DAYS) -> DataFrame:

@@ -21,7 +21,8 @@ def required_fields_check(extracted: DataFrame, reject_blank: bool = False) -> D
     """Add `errors`: which required fields are missing, in a fixed order.
 
     Arrays also count as missing when empty; empty strings pass unless reject_blank. A
-    page-level error replaces the field checks.
+    page-level error replaces the field checks. The raw fragment is kept for rows with
+    errors only, as evidence.
     """
     checks = []
     for name, message in S.REQUIRED_FIELDS:
@@ -32,8 +33,9 @@ def required_fields_check(extracted: DataFrame, reject_blank: bool = False) -> D
             bad = bad | (column == "")
         checks.append((bad, message))
     fields = required_fields(checks)
-    return extracted.withColumn(
+    checked = extracted.withColumn(
         "errors", F.when(F.col("page_error").isNotNull(), F.array("page_error")).otherwise(fields))
+    return checked.withColumn("raw_fragment", F.when(F.size("errors") > 0, F.col("raw_fragment")))
 
 
 def route_valid(checked: DataFrame) -> DataFrame:

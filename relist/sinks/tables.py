@@ -139,16 +139,20 @@ def posting_documents(postings: DataFrame, dates: DataFrame, dates_per_row: int
 
     A posting with very many dates gives several rows, numbered by `part`, each with a
     run of the list; together they hold all of it. Parts are cut between capture hours,
-    from counts per hour, so no task needs the whole list.
+    from counts per hour; only the few cuts (at most one per dates_per_row dates) are
+    brought to the rows, so no task needs a whole list.
     """
     hour = F.date_trunc("hour", F.col("captured_at"))
-    hourly = dates.withColumn("_hour", hour).groupBy("posting_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
-    so_far = Window.partitionBy("posting_id").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    cut = hourly.withColumn(
-        "part", F.floor(F.coalesce(F.sum("_n").over(so_far), F.lit(0)) / dates_per_row).cast("int")).drop("_n")
+    hourly = dates.select("posting_id", hour.alias("_hour")).groupBy("posting_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
+    in_order = Window.partitionBy("posting_id").orderBy("_hour")
+    before = F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = hourly.withColumn("_part", F.floor(before / dates_per_row)).withColumn(
+        "_previous", F.coalesce(F.lag("_part").over(in_order), F.lit(0)))
+    cuts = numbered.where(F.col("_part") > F.col("_previous")).groupBy("posting_id").agg(F.collect_list("_hour").alias("_cuts"))
+    part = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= hour)), F.lit(0))
     arrived = F.struct("captured_at", "page", "ordinal", "posting_date")
-    lists = (dates.withColumn("_hour", hour).join(cut, ["posting_id", "_hour"])
-             .groupBy("posting_id", "part").agg(F.sort_array(F.collect_list(arrived)).alias("_dates"))
+    lists = (dates.join(cuts, "posting_id", "left").withColumn("part", part)
+             .repartition("posting_id", "part").groupBy("posting_id", "part").agg(F.sort_array(F.collect_list(arrived)).alias("_dates"))
              .select("posting_id", "part", F.col("_dates.posting_date").alias("other_posting_dates")))
     whole = postings.drop("other_posting_dates").join(lists, "posting_id", "left")
     empty = F.array().cast(lists.schema["other_posting_dates"].dataType)

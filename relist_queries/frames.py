@@ -146,6 +146,16 @@ def _per_item(count: Column, item) -> Column:
     return F.transform(F.when(count > 0, F.sequence(F.lit(1), count.cast("int"))).otherwise(F.array().cast("array<int>")), item)
 
 
+def captured_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as page captures: a source is captured on the first day of each month. The thin
+    rows are spread over the tasks before the page texts are built from them."""
+    return table(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey").withColumn(
+        "captured", F.date_trunc("month", "o_orderdate").cast("timestamp"))
+
+
+CAPTURED = "date_trunc('month', o_orderdate)::TIMESTAMP"
+
+
 def html_list_pages(spark: SparkSession, sf: str) -> DataFrame:
     """One HTML list page per order with 0 to 3 cards; some cards lack a part."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -175,7 +185,7 @@ def html_list_pages(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("\n</span></div></div></div></div>"))
 
     cards = F.array_join(_per_item(cust % 4, card), "<p>ad")
-    return table(spark, sf, "orders").select(
+    return captured_orders(spark, sf).select(
         F.concat(F.lit("html-"), key.cast("string")).alias("raw_page_id"),
         (key + 1).cast("int").alias("page"),
         F.lit(HTML_SOURCE).alias("source"),
@@ -183,21 +193,21 @@ def html_list_pages(spark: SparkSession, sf: str) -> DataFrame:
             F.lit('<!DOCTYPE html><html><head><title>Jobs</title><script>var t="<div class=job>";</script></head><body>'
                   '<div class="job">not a result</div><div id="search-results"><div id="jobs">'),
             cards, F.lit("</div></div></body></html>")).alias("content"),
-        F.col("o_orderdate").cast("timestamp").alias("captured_at"))
+        F.col("captured").alias("captured_at"))
 
 
 # Expected cards: `lack` 0 no link, 1 no tags, 2 no company, 3 no city; k is the unit's index.
 HTML_CARDS = f"""
 card AS (SELECT *, (o_orderkey * 7 + i) % 11 AS lack, (o_orderkey + i) % 8 AS k, (o_custkey % 60 + 1)::INTEGER AS n
-         FROM (SELECT *, unnest(generate_series(1, o_custkey % 4)) AS i FROM orders)),
+         FROM (SELECT *, {CAPTURED} AS captured, unnest(generate_series(1, o_custkey % 4)) AS i FROM orders)),
 cards AS (SELECT 'html-' || o_orderkey AS raw_page_id, '{HTML_SOURCE}' AS source, o_orderkey + 1 AS page,
-                 o_orderdate AS captured_at, i - 1 AS ordinal,
+                 captured AS captured_at, i - 1 AS ordinal,
                  CASE WHEN lack <> 0 THEN 'https://itviec.com/it-jobs/' || o_custkey || '-' || i END AS url,
                  CASE WHEN lack <> 0 THEN 'Senior & role ' || o_custkey || ' x' END AS title,
                  CASE WHEN lack <> 1 THEN o_orderstatus || '|SQL' END AS tags,
-                 CASE k WHEN 0 THEN o_orderdate - to_seconds(n) WHEN 1 THEN o_orderdate - to_minutes(n)
-                        WHEN 2 THEN o_orderdate - to_hours(n) WHEN 3 THEN o_orderdate - to_days(n)
-                        WHEN 4 THEN o_orderdate - to_weeks(n) WHEN 5 THEN o_orderdate - to_months(n) END AS posting_date,
+                 CASE k WHEN 0 THEN captured - to_seconds(n) WHEN 1 THEN captured - to_minutes(n)
+                        WHEN 2 THEN captured - to_hours(n) WHEN 3 THEN captured - to_days(n)
+                        WHEN 4 THEN captured - to_weeks(n) WHEN 5 THEN captured - to_months(n) END AS posting_date,
                  CASE WHEN lack <> 2 THEN 'clerk-' || (o_custkey % 10) END AS company,
                  CASE WHEN lack <> 3 THEN o_orderpriority END AS locations,
                  [x FOR x IN [CASE WHEN lack = 0 THEN 'Missing url' END, CASE WHEN lack = 0 THEN 'Missing title' END,
@@ -227,19 +237,19 @@ def json_list_pages(spark: SparkSession, sf: str) -> DataFrame:
     hits = F.array_join(_per_item(cust % 3 + 1, hit), ",")
     whole = F.concat(F.lit('{"results":[{"hits":['), hits, F.lit('],"page":'), key.cast("string"), F.lit('},{"hits":[{}]}]}'))
     content = F.when(cust % 17 == 0, F.substr(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
-    return table(spark, sf, "orders").select(
+    return captured_orders(spark, sf).select(
         F.concat(F.lit("json-"), key.cast("string")).alias("raw_page_id"),
         (key + 1).cast("int").alias("page"),
         F.lit(JSON_SOURCE).alias("source"),
         content.alias("content"),
-        (F.col("o_orderdate").cast("timestamp") + F.make_interval(hours=F.lit(1))).alias("captured_at"))
+        (F.col("captured") + F.make_interval(hours=F.lit(1))).alias("captured_at"))
 
 
 JSON_HITS = f"""
 hit AS (SELECT *, (o_orderkey * 5 + i) % 9 AS odd
         FROM (SELECT *, unnest(generate_series(1, o_custkey % 3 + 1)) AS i FROM orders WHERE o_custkey % 17 <> 0)),
 hits AS (SELECT 'json-' || o_orderkey AS raw_page_id, '{JSON_SOURCE}' AS source, o_orderkey + 1 AS page,
-                o_orderdate + INTERVAL 1 HOUR AS captured_at, i - 1 AS ordinal,
+                {CAPTURED} + INTERVAL 1 HOUR AS captured_at, i - 1 AS ordinal,
                 CASE WHEN odd <> 0 THEN 'https://www.vietnamworks.com/role-' || o_custkey || '-' || i || '-jv' END AS url,
                 'Role A' AS title, CASE WHEN odd <> 1 THEN 'A|B|' || o_orderstatus END AS tags,
                 CASE WHEN odd <> 3 THEN o_orderdate END AS posting_date, 'co-' || (o_custkey % 10) AS company,
@@ -249,7 +259,7 @@ hits AS (SELECT 'json-' || o_orderkey AS raw_page_id, '{JSON_SOURCE}' AS source,
                              CASE WHEN odd = 4 THEN 'Missing locations' END] IF x IS NOT NULL] AS errors
          FROM hit),
 bad_json AS (SELECT 'json-' || o_orderkey AS raw_page_id, '{JSON_SOURCE}' AS source, o_orderkey + 1 AS page,
-                    o_orderdate + INTERVAL 1 HOUR AS captured_at,
+                    {CAPTURED} + INTERVAL 1 HOUR AS captured_at,
                     'Cannot parse job source as json. Failure message: malformed JSON' AS message
              FROM orders WHERE o_custkey % 17 = 0)"""
 
