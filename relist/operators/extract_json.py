@@ -14,34 +14,29 @@ from relist.functions.strings import build_url, trim_java
 PAGE_COLUMNS = ["raw_page_id", "source", "page", "captured_at"]
 
 
-def _parsed(raw_pages: DataFrame) -> DataFrame:
-    """Each page parsed once, as the only element of a list (see json_parse)."""
-    parsed = raw_pages.where(F.col("content").isNotNull()).select(*PAGE_COLUMNS, json_list(F.col("content")).alias("_list"))
-    return parsed.withColumn("invalid", ~is_single(F.col("_list")))
-
-
 def explode_json_items(raw_pages: DataFrame) -> DataFrame:
-    """Listings of each page in order, or one item without a listing for an unreadable page.
+    """Listings of each page in order; an unreadable page gives one item with a null hit.
 
     Only the first result counts; absent, empty or mistyped hits give no rows, and so does
-    a page without content.
+    a page without content. Each page is parsed once: filters of later steps are on the
+    exploded columns, which keeps the optimizer from parsing again in front of them.
     """
+    parsed = raw_pages.where(F.col("content").isNotNull()).select(*PAGE_COLUMNS, json_list(F.col("content")).alias("_list"))
     hits = json_path(F.col("_list"), S.HITS_PATH.replace("$", "$[0]"), "array<variant>")
-    none = F.array(F.lit(None).cast("variant"))
-    # The outer form keeps the optimizer from parsing once more for a filter in front of it.
-    return (
-        _parsed(raw_pages)
-        .select(*PAGE_COLUMNS, "invalid", F.posexplode_outer(F.when(F.col("invalid"), none).otherwise(hits)).alias("ordinal", "hit"))
-        .where(F.col("ordinal").isNotNull()))
+    unreadable = F.array(F.lit(None).cast("variant"))
+    items = F.when(is_single(F.col("_list")), hits).otherwise(unreadable)
+    return (parsed.select(*PAGE_COLUMNS, F.posexplode_outer(items).alias("ordinal", "hit"))
+            .where(F.col("ordinal").isNotNull()))
 
 
 def explode_json_hits(raw_pages: DataFrame) -> DataFrame:
-    return explode_json_items(raw_pages).where(~F.col("invalid")).drop("invalid")
+    return explode_json_items(raw_pages).where(F.col("hit").isNotNull())
 
 
 def json_invalid_page(raw_pages: DataFrame) -> DataFrame:
     """One error per page that is not JSON: empty fragment, one message."""
-    return _parsed(raw_pages).where("invalid").select(*PAGE_COLUMNS, F.lit("").alias("raw_fragment"), _invalid_message().alias("page_error"))
+    return explode_json_items(raw_pages).where(F.col("hit").isNull()).select(
+        *PAGE_COLUMNS, F.lit("").alias("raw_fragment"), _invalid_message().alias("page_error"))
 
 
 def _invalid_message():
@@ -51,7 +46,6 @@ def _invalid_message():
 def json_hit_fields(items: DataFrame, base_url: str = S.BASE_URLS[S.JSON_SOURCE]) -> DataFrame:
     """Posting fields of each listing, strictly typed: a value of another type is missing."""
     hit = F.col("hit")
-    invalid = F.col("invalid") if "invalid" in items.columns else F.lit(False)
     job_id = json_long(hit, "$.jobId").cast("string")
     return items.select(
         *PAGE_COLUMNS, "ordinal",
@@ -61,8 +55,8 @@ def json_hit_fields(items: DataFrame, base_url: str = S.BASE_URLS[S.JSON_SOURCE]
         epoch_s_to_ts(json_long(hit, "$.onlineDate")).alias("posting_date"),
         trim_java(json_string(hit, "$.company")).alias("company"),
         map_trim_set(json_string_set(hit, "$.locations")).alias("locations"),
-        F.when(invalid, F.lit("")).otherwise(json_fragment(hit)).alias("raw_fragment"),
-        F.when(invalid, _invalid_message()).alias("page_error"),
+        F.coalesce(json_fragment(hit), F.lit("")).alias("raw_fragment"),
+        F.when(hit.isNull(), _invalid_message()).alias("page_error"),
     )
 
 
