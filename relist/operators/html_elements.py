@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from functools import lru_cache
 from html import unescape
 
 # Fixed values of HTML itself.
@@ -23,19 +24,31 @@ CLOSES_PARAGRAPH = set("address article aside blockquote div dl fieldset footer
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-MARKED = re.compile(r"\b(?:class|id)\s*=", re.I)
 SIMPLE = re.compile(r"[#.]?[\w-]+")
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
 
+@lru_cache(maxsize=8192)
+def describe(tag: str, attributes: str) -> tuple[dict[str, str], frozenset[str]]:
+    """Attributes of a start tag (the first of a repeated one counts), and the names paths
+    find it by: its tag, '#id' and '.class'. Tags repeat from listing to listing."""
+    attrs: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(attributes):
+        value = double or single or bare
+        attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    names = {tag, *("." + c for c in attrs.get("class", "").split())}
+    if "id" in attrs:
+        names.add("#" + attrs["id"])
+    return attrs, frozenset(names)
+
+
 class Page:
     """Elements in document order, so that a subtree is the run [i, last[i]]."""
 
     def __init__(self, html: str):
         self.html, self.texts = html, []
-        self.tag, self.parent, self.start, self.end, self.last, self.attributes = [], [], [], [], [], []
-        # Positions of the elements with a tag, '#id' or '.class', to look paths up by.
-        self.found: dict[str, list[int]] = {}
+        self.tag, self.parent, self.start, self.end, self.last, self.attrs, self.names = [], [], [], [], [], [], []
+        self.holders: dict[str, list[int]] = {}
         stack, pos = [], 0
         while pos is not None:
             pos = self._scan(stack, pos)
@@ -46,10 +59,10 @@ class Page:
         """Read tags from `pos` on, up to the end (None) or behind a raw text element."""
         html, tags, texts = self.html, self.tag, self.texts
         for token in TOKEN.finditer(html, pos):
-            at = token.start()
+            at, behind = token.span()
             if at > pos and stack:
                 texts.append((pos, stack[-1], html[pos:at]))
-            pos = token.end()
+            pos = behind
             closing, tag, attributes = token.groups()
             if tag is None:
                 continue
@@ -64,7 +77,17 @@ class Page:
             ends = ENDS_WITH_SIBLING.get(tag) or (PARAGRAPH if tag in CLOSES_PARAGRAPH else None)
             while ends and stack and tags[stack[-1]] in ends:
                 self._close(stack, at)
-            i = self._open(stack, tag, attributes, at, pos)
+            i = len(tags)
+            attrs, names = describe(tag, attributes)
+            tags.append(tag)
+            self.parent.append(stack[-1] if stack else -1)
+            self.start.append(at)
+            self.end.append(pos)
+            self.last.append(i)
+            self.attrs.append(attrs)
+            self.names.append(names)
+            if tag not in VOID:
+                stack.append(i)
             if tag in RAW_TEXT:
                 found = re.compile(f"</{tag}[\\s/>]", re.I).search(html, pos)
                 stop = found.start() if found else len(html)
@@ -75,52 +98,26 @@ class Page:
             texts.append((pos, stack[-1], html[pos:]))
         return None
 
-    def _open(self, stack: list[int], tag: str, attributes: str, at: int, pos: int) -> int:
-        i, found = len(self.tag), self.found
-        self.tag.append(tag)
-        self.parent.append(stack[-1] if stack else -1)
-        self.start.append(at)
-        self.end.append(pos)
-        self.last.append(i)
-        self.attributes.append(attributes)
-        found.setdefault(tag, []).append(i)
-        if attributes and MARKED.search(attributes):
-            attrs = self.attrs(i)
-            for name in set(attrs.get("class", "").split()):
-                found.setdefault("." + name, []).append(i)
-            if "id" in attrs:
-                found.setdefault("#" + attrs["id"], []).append(i)
-        if tag not in VOID:
-            stack.append(i)
-        return i
-
-    def attrs(self, i: int) -> dict[str, str]:
-        """Attributes of an element; of a repeated one the first counts."""
-        attrs: dict[str, str] = {}
-        for name, double, single, bare in ATTRIBUTE.findall(self.attributes[i]):
-            value = double or single or bare
-            attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
-        return attrs
-
     def _close(self, stack: list[int], pos: int) -> None:
         i = stack.pop()
         self.last[i], self.end[i] = len(self.tag) - 1, pos
 
+    def _holding(self, name: str) -> list[int]:
+        if name not in self.holders:
+            self.holders[name] = [i for i, names in enumerate(self.names) if name in names]
+        return self.holders[name]
+
     def select(self, path: list, root: int | None = None) -> list[int]:
         """Elements of the subtree of `root` (of the page if None) that match a path."""
-        lists = [self.found.get(name, ()) for name in path[-1][1]]
-        candidates = min(lists, key=len) if lists else range(len(self.tag))
+        candidates = self._holding(path[-1][1])
         if root is not None:
             candidates = candidates[bisect_left(candidates, root):bisect_right(candidates, self.last[root])]
         return [i for i in candidates if self._matches(i, path, len(path) - 1, root)]
 
     def _matches(self, i: int, path: list, step: int, root: int | None) -> bool:
-        child, names = path[step]
-        for name in names:
-            holders = self.found.get(name, ())
-            k = bisect_left(holders, i)
-            if k == len(holders) or holders[k] != i:
-                return False
+        child, _, needed = path[step]
+        if not needed <= self.names[i]:
+            return False
         if step == 0:
             return True
         while i != root and (i := self.parent[i]) >= 0:
@@ -150,16 +147,17 @@ class Page:
             return self.text(i)
         if what == "outer":
             return self.html[self.start[i]:self.end[i]]
-        return self.attrs(i).get(what[1:], "")
+        return self.attrs[i].get(what[1:], "")
 
 
 def compile_path(css: str) -> list:
-    """'#jobs div.job > a' as steps of (is child step, names the element must have)."""
+    """'#jobs div.job > a' as steps of (is child step, the name to look up by, all names)."""
     steps, child = [], False
     for word in css.replace(">", " > ").split():
         if word == ">":
             child = True
             continue
-        steps.append((child, SIMPLE.findall(word)))
+        names = SIMPLE.findall(word)
+        steps.append((child, max(names, key=lambda n: n[0] in "#."), frozenset(names)))
         child = False
     return steps
