@@ -126,6 +126,14 @@ def now(spark, sf):
     return table(spark, sf, "events").select("event_id", now_ms.alias("now_ms"), (now_ms - D.ts_to_epoch_ms(F.col("ts"))).alias("age_ms"))
 
 
+@query("now_ms", """
+SELECT event_type, epoch_ms(TIMESTAMP '2024-02-01 09:00:00.123') AS now_ms, count(*) AS n_events FROM events GROUP BY event_type""")
+def now_ms(spark, sf):
+    """One clock reading for all rows of a run."""
+    read = D.ts_to_epoch_ms(D.run_time("2024-02-01 09:00:00.123456")).alias("now_ms")
+    return table(spark, sf, "events").select("event_type", read).groupBy("event_type", "now_ms").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 @query("at_least_n_days_after", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate >= o_orderdate + INTERVAL 30 DAY AS later
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
