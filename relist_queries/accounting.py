@@ -14,7 +14,7 @@ from relist_queries.frames import PART_URL, flat, sql_fold, sql_id
 # Orders are the pages: lineitem rows with tax are listings, those without are errors.
 PAGES = f"""
 good AS (SELECT l_returnflag AS source, '{PART_URL}' || l_partkey AS url, l_shipdate AS posting_date,
-                l_shipdate AS captured_at, l_orderkey AS page, l_linenumber AS ordinal FROM lineitem WHERE l_tax > 0),{sql_fold('good')},
+                l_shipdate AS captured_at, l_orderkey AS page, l_linenumber::BIGINT AS ordinal FROM lineitem WHERE l_tax > 0),{sql_fold('good')},
 errors AS (SELECT l_orderkey AS page, {sql_id('l_orderkey', 'l_linenumber', 'l_partkey', 'epoch_ms(l_shipdate)')} AS error_id
            FROM lineitem WHERE l_tax = 0),
 counts AS (SELECT page, coalesce(n_new, 0) AS n_new, coalesce(n_existing, 0) AS n_existing, coalesce(n_errors, 0) AS n_errors FROM
@@ -48,7 +48,7 @@ def replay_totals(spark, sf):
 
 @query("run_accumulate", f"""
 WITH RECURSIVE {PAGES}
-SELECT source, 1 AS start_page, 1000000 AS end_page, count(*) FILTER (outcome <> 'existing') AS n_new,
+SELECT source, 1::BIGINT AS start_page, 1000000::BIGINT AS end_page, count(*) FILTER (outcome <> 'existing') AS n_new,
        count(*) FILTER (outcome = 'existing') AS n_existing FROM tagged GROUP BY source""")
 def run_accumulate(spark, sf):
     return flat(A.run_accumulate(_tagged_and_errors(spark, sf)[0], 1, 1_000_000))

@@ -29,7 +29,7 @@ def sql_fold(sightings: str, gap: int = 30) -> str:
 ranked AS (SELECT *, row_number() OVER (PARTITION BY source, url ORDER BY captured_at, page, ordinal, posting_date) AS rn
            FROM {sightings}),
 tagged AS (
-  SELECT *, posting_date AS episode_start, 0 AS repost_index, 'new' AS outcome FROM ranked WHERE rn = 1
+  SELECT *, posting_date AS episode_start, 0::BIGINT AS repost_index, 'new' AS outcome FROM ranked WHERE rn = 1
   UNION ALL
   SELECT r.*, CASE WHEN {opens} THEN r.posting_date ELSE f.episode_start END,
          CASE WHEN {opens} THEN f.repost_index + 1 ELSE f.repost_index END,
@@ -52,7 +52,7 @@ def lineitem_sightings(spark: SparkSession, sf: str) -> DataFrame:
 
 LINEITEM_SIGHTINGS = f"""
 sightings AS (SELECT l_returnflag AS source, '{PART_URL}' || l_partkey AS url, l_shipdate AS posting_date,
-                     l_shipdate AS captured_at, l_orderkey AS page, l_linenumber AS ordinal FROM lineitem)"""
+                     l_shipdate AS captured_at, l_orderkey AS page, l_linenumber::BIGINT AS ordinal FROM lineitem)"""
 
 
 def order_sightings(spark: SparkSession, sf: str) -> DataFrame:

@@ -51,7 +51,7 @@ def build_url(spark, sf):
 
 @query("parse_int", """
 SELECT event_id, coalesce(try_cast(replace(replace(props, '{"k": ', ''), '}', '') || repeat('0', (event_id % 10)::INTEGER)
-       AS INTEGER), -1) AS parsed FROM events""")
+       AS INTEGER), -1)::BIGINT AS parsed FROM events""")
 def parse_int(spark, sf):
     digits = F.concat(F.regexp_extract("props", r"(\d+)", 1), F.repeat(F.lit("0"), (F.col("event_id") % 10).cast("int")))
     return flat(table(spark, sf, "events").select("event_id", F.coalesce(X.parse_int(digits), F.lit(-1)).alias("parsed")))
@@ -64,7 +64,7 @@ def hex_id(spark, sf):
 
 
 @query("relative_age_to_ts", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey,
        epoch_ms(CASE l_linenumber WHEN 1 THEN l_shipdate - to_seconds(n) WHEN 2 THEN l_shipdate - to_minutes(n)
                 WHEN 3 THEN l_shipdate - to_hours(n) WHEN 4 THEN l_shipdate - to_days(n) WHEN 5 THEN l_shipdate - to_weeks(n)
                 WHEN 6 THEN l_shipdate - to_months(n) END) AS posted_ms
@@ -160,7 +160,7 @@ def map_trim_set(spark, sf):
 
 
 @query("singleton_set", """
-SELECT doc_id, quality IS NULL AS is_null, coalesce(quality, -1) AS first FROM documents LEFT JOIN labels USING (doc_id)""")
+SELECT doc_id, quality IS NULL AS is_null, coalesce(quality, -1)::BIGINT AS first FROM documents LEFT JOIN labels USING (doc_id)""")
 def singleton_set(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     one = A.singleton_set(F.col("quality"))

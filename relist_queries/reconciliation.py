@@ -135,7 +135,7 @@ def posting_episodes_lineitem(spark, sf):
 @query("posting_episodes_stored", f"""
 WITH RECURSIVE {ORDER_SIGHTINGS},
 first AS (SELECT source, url, min(posting_date) AS d FROM sightings GROUP BY source, url),
-seeded AS (SELECT source, url, d AS posting_date, TIMESTAMP '1900-01-01' AS captured_at, 0 AS page, -1 AS ordinal FROM first
+seeded AS (SELECT source, url, d AS posting_date, TIMESTAMP '1900-01-01' AS captured_at, 0::BIGINT AS page, -1 AS ordinal FROM first
            UNION ALL SELECT source, url, posting_date, captured_at, page, ordinal FROM sightings),{sql_fold('seeded', 90)}
 SELECT source, url, page, epoch_ms(episode_start) AS episode_start, outcome FROM tagged WHERE ordinal >= 0""")
 def posting_episodes_stored(spark, sf):

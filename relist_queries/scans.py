@@ -91,7 +91,7 @@ def restore_snapshot(spark, sf):
 
 @query("conform_schema", f"""
 WITH {ORDER_POSTINGS}
-SELECT posting_id, url, title, array_to_string(tags, '|') AS tags, epoch_ms(posting_date) AS posting_date, 0 AS n_other_dates,
+SELECT posting_id, url, title, array_to_string(tags, '|') AS tags, epoch_ms(posting_date) AS posting_date, 0::BIGINT AS n_other_dates,
        company, array_to_string(locations, '|') AS locations, source, raw_page_id, epoch_ms(created_at) AS created_at,
        modified_at IS NULL AS never_modified FROM (SELECT *, NULL AS modified_at FROM postings)""")
 def conform_schema(spark, sf):

@@ -22,7 +22,7 @@ from relist_queries.reconciliation import ATTACHED, MESSAGE, _detail_postings
 
 @query("append_raw_page", f"""
 WITH {EVENT_PAGES}
-SELECT raw_page_id, page, source, content, epoch_us(captured_at) // 1000 AS captured_at, 1 AS batch_id FROM raw_pages
+SELECT raw_page_id, page, source, content, epoch_us(captured_at) // 1000 AS captured_at, 1::BIGINT AS batch_id FROM raw_pages
 WHERE source = 'view' AND captured_at >= TIMESTAMP '2024-01-03 00:00:00'
 UNION ALL SELECT raw_page_id, page, source, content, epoch_us(captured_at) // 1000, 2 FROM raw_pages
 WHERE source = 'view' AND captured_at >= TIMESTAMP '2024-01-03 00:00:00'""")
@@ -38,7 +38,7 @@ def append_raw_page(spark, sf):
 
 @query("append_errors", f"""
 WITH {ALL_LISTINGS}
-SELECT {sql_id('raw_page_id', 'ordinal', "'error'")} AS error_id, array_to_string(errors, '|') AS errors, raw_page_id, 1 AS batch_id
+SELECT {sql_id('raw_page_id', 'ordinal', "'error'")} AS error_id, array_to_string(errors, '|') AS errors, raw_page_id, 1::BIGINT AS batch_id
 FROM failures""")
 def append_errors(spark, sf):
     root = scratch_path(spark, "errors")
@@ -54,7 +54,7 @@ def append_details(spark, sf):
     return flat(T.read_table(spark, root, "posting_details").drop("batch_id"))
 
 
-@query("publish_changes", f"WITH {ORDER_POSTINGS} SELECT posting_id AS key, {MESSAGE} AS value, 7 AS batch_id FROM postings")
+@query("publish_changes", f"WITH {ORDER_POSTINGS} SELECT posting_id AS key, {MESSAGE} AS value, 7::BIGINT AS batch_id FROM postings")
 def publish_changes(spark, sf):
     root = scratch_path(spark, "published")
     T.publish_changes(P.publish_projection(order_postings(spark, sf)), root, 7)
