@@ -50,15 +50,16 @@ def html_rows(content: Column, root: str, fields: Sequence[HtmlField]) -> Column
             return None
         return [page.read(j, field.what) for j in found] if field.every else page.read(found[0], field.what)
 
-    def rows(html: str | None):
+    def rows(html: str | None, seen: dict):
         if html is None:
             return None
-        page = Page(html)
+        page = Page(html, seen)
         return [{f.name: read(page, i, f, p) for f, p in zip(fields, paths)} for i in page.select(root_path)]
 
     @F.arrow_udf(T.ArrayType(row))
     def extract(contents: pa.Array) -> pa.Array:
-        return pa.array([rows(html.as_py()) for html in contents], type=arrow_row)
+        seen: dict = {}
+        return pa.array([rows(html.as_py(), seen) for html in contents], type=arrow_row)
 
     return extract(content)
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from functools import lru_cache
 from html import unescape
 
 # Fixed values of HTML itself.
@@ -28,10 +27,9 @@ SIMPLE = re.compile(r"[#.]?[\w-]+")
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
 
-@lru_cache(maxsize=8192)
 def describe(tag: str, attributes: str) -> tuple[dict[str, str], frozenset[str]]:
     """Attributes of a start tag (the first of a repeated one counts), and the names paths
-    find it by: its tag, '#id' and '.class'. Tags repeat from listing to listing."""
+    find it by: its tag, '#id' and '.class'."""
     attrs: dict[str, str] = {}
     for name, double, single, bare in ATTRIBUTE.findall(attributes):
         value = double or single or bare
@@ -43,10 +41,13 @@ def describe(tag: str, attributes: str) -> tuple[dict[str, str], frozenset[str]]
 
 
 class Page:
-    """Elements in document order, so that a subtree is the run [i, last[i]]."""
+    """Elements in document order, so that a subtree is the run [i, last[i]].
 
-    def __init__(self, html: str):
-        self.html, self.texts = html, []
+    `seen` keeps described start tags from page to page, as listings repeat them.
+    """
+
+    def __init__(self, html: str, seen: dict | None = None):
+        self.html, self.texts, self.seen = html, [], {} if seen is None else seen
         self.tag, self.parent, self.start, self.end, self.last, self.attrs, self.names = [], [], [], [], [], [], []
         self.holders: dict[str, list[int]] = {}
         stack, pos = [], 0
@@ -57,7 +58,7 @@ class Page:
 
     def _scan(self, stack: list[int], pos: int) -> int | None:
         """Read tags from `pos` on, up to the end (None) or behind a raw text element."""
-        html, tags, texts = self.html, self.tag, self.texts
+        html, tags, texts, seen = self.html, self.tag, self.texts, self.seen
         for token in TOKEN.finditer(html, pos):
             at, behind = token.span()
             if at > pos and stack:
@@ -75,17 +76,25 @@ class Page:
                     self._close(stack, pos if len(stack) == depth + 1 else at)
                 continue
             ends = ENDS_WITH_SIBLING.get(tag) or (PARAGRAPH if tag in CLOSES_PARAGRAPH else None)
-            while ends and stack and tags[stack[-1]] in ends:
-                self._close(stack, at)
+            while ends:
+                depth = len(stack) - 1
+                while depth >= 0 and tags[stack[depth]] in INLINE:
+                    depth -= 1
+                if depth < 0 or tags[stack[depth]] not in ends:
+                    break
+                while len(stack) > depth:
+                    self._close(stack, at)
             i = len(tags)
-            attrs, names = describe(tag, attributes)
+            known = seen.get((tag, attributes))
+            if known is None:
+                known = seen[tag, attributes] = describe(tag, attributes)
             tags.append(tag)
             self.parent.append(stack[-1] if stack else -1)
             self.start.append(at)
             self.end.append(pos)
             self.last.append(i)
-            self.attrs.append(attrs)
-            self.names.append(names)
+            self.attrs.append(known[0])
+            self.names.append(known[1])
             if tag not in VOID:
                 stack.append(i)
             if tag in RAW_TEXT:
