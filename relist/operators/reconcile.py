@@ -82,8 +82,8 @@ def union_changed(classified: DataFrame) -> DataFrame:
 def merge_existing(matched: DataFrame) -> DataFrame:
     """A matched row as the updated posting: batch fields, but the stored id, date and
     creation time; the batch date goes to the end of the other dates."""
-    dates = F.col("stored_other_posting_dates") if "stored_other_posting_dates" in matched.columns else (
-        F.array().cast("array<timestamp>"))
+    kind = f"array<{matched.schema['posting_date'].dataType.simpleString()}>"
+    dates = F.col("stored_other_posting_dates") if "stored_other_posting_dates" in matched.columns else F.array().cast(kind)
     kept = [c for c in matched.columns if not c.startswith("stored_") and c not in ("posting_date", "outcome")]
     created = [F.col("stored_created_at").alias("created_at")] if "stored_created_at" in matched.columns else []
     return matched.select(

@@ -127,8 +127,10 @@ def run_details(spark: SparkSession, root: str, detail_pages: DataFrame, batch_i
     configure(spark)
     postings = page_source.select_sources(tables.current_postings(spark, root, before=batch_id + 1), sources)
     done = tables.read_table(spark, root, "posting_details", before=batch_id)
-    found = details.attach_details(details.details_backlog(postings, done), detail_pages, run_ts)
-    tables.append_details(found, root, batch_id)
+    stage = scratch_path(spark, "details")
+    backlog = materialize(details.details_backlog(postings, done).select("posting_id", "url"), "backlog", stage)
+    tables.append_details(details.attach_details(backlog, detail_pages, run_ts), root, batch_id)
+    release(spark, stage)
     return tables.read_table(spark, root, "posting_details").where(F.col("batch_id") == batch_id)
 
 

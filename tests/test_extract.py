@@ -113,6 +113,7 @@ def test_json_page_gives_all_hits(spark):
 
 
 def test_json_field_values(spark):
+    # The one listing whose record is given.
     row = checked(json_raw(spark, json_page([hit(
         1199830, alias="application-support-specialist-3", jobTitle="Application Support Specialist", company="Home Credit Vietnam",
         skills=["End-User Support", "It Helpdesk", "Technical Support", "System Support", "It Support"])])))[0]
