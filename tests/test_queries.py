@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+import relist_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = relist_queries.QUERIES, relist_queries.ORACLE
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
@@ -30,6 +31,8 @@ def rows(columns, records):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
