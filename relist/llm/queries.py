@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import decontaminate, exact
+from relist.llm import decontaminate, exact, quality, simhash
 from relist.llm.common import table
 
 
@@ -21,7 +21,20 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
+def op6_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(quality.learnable())
+    scored = quality.with_score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", (~quality.learnable()).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 QUERIES = {
+    "op6_quality_ranking": op6_quality_ranking,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
 }
