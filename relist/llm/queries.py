@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import decontaminate, exact, quality, simhash
+from relist.llm import decontaminate, exact, quality, sentencepieces, simhash
 from relist.llm.common import table
 
 
@@ -32,7 +32,14 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op8_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents"))
+    read = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sentencepieces.digest("ids").alias("ids_sha256"), sentencepieces.decode("ids").alias("text"))
+    return read.select("doc_id", "n_tokens", "ids_sha256", F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op8_sentencepiece_scan": op8_sentencepiece_scan,
     "op6_quality_ranking": op6_quality_ranking,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
