@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,20 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         start = end
 
 
+_SPACE = re.compile(rb"[\t-\r ]")
+
+
+def pieces(text: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A long text in parts that end between words."""
+    start = 0
+    while len(text) - start > size:
+        gap = _SPACE.search(text, start + size)
+        end = gap.start() if gap else len(text)
+        yield text[start:end]
+        start = end
+    yield text[start:] if start else text
+
+
 def texts_of(texts: pa.Array, start: int, end: int) -> list[bytes]:
     """The UTF-8 bytes of rows start to end; null counts as empty."""
     part = pc.fill_null(texts.slice(start, end - start).cast(pa.large_binary()), b"")
@@ -85,17 +100,14 @@ def gram_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """For each window of `width` consecutive values the position of its rightmost smallest one."""
-    n = len(values) - width + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    best = np.arange(n, dtype=np.int64)
-    low = values[:n].copy()
-    for k in range(1, width):
-        right = values[k:k + n]
-        better = right <= low
-        best[better] = np.flatnonzero(better) + k
-        low = np.minimum(low, right)
-    return best
+    low, at, covered = values, np.arange(len(values)), 1
+    while covered < width:
+        step = min(covered, width - covered)
+        left, right = low[:max(0, len(low) - step)], low[step:]
+        later = right <= left
+        low, at = np.where(later, right, left), np.where(later, at[step:], at[:max(0, len(at) - step)])
+        covered += step
+    return at
 
 
 def runs_to_mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import decontaminate, exact, quality, sentencepieces, simhash
+from relist.llm import decontaminate, exact, quality, sentencepieces, simhash, substring
 from relist.llm.common import table
 
 
@@ -38,7 +38,13 @@ def op8_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_tokens", "ids_sha256", F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.drop_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op8_sentencepiece_scan": op8_sentencepiece_scan,
     "op6_quality_ranking": op6_quality_ranking,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -67,4 +73,15 @@ ORACLE = {
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
         g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
+    "op3_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+        r AS (SELECT k FROM g GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM g WHERE k IN (SELECT k FROM r)),
+        lost AS (SELECT doc_id, list(q) AS qs FROM gone GROUP BY doc_id),
+        kept AS (SELECT doc_id, list(x ORDER BY q) AS ks FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM d)
+                 WHERE (doc_id, q) NOT IN (SELECT doc_id, q FROM gone) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(array_to_string(ks, ' '), '')) AS kept_sha256
+        FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }

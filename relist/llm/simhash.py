@@ -24,7 +24,6 @@ Extra columns are ignored by `near_groups` and returned unchanged by `drop_near_
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,27 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import texts_of
+from relist.llm.common import pieces, texts_of
 from relist.llm.components import smallest_reachable
 from relist.session import materialize
 
 SHINGLE, MAX_BITS = 4, 4
 LIST_LIMIT = 1024
-PIECE = 1 << 20
 
 _ONES = np.uint64(0x0101010101010101)
-_SPACE = re.compile(rb"[\t-\r ]")
-
-
-def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
-    """A long text in parts that end between words."""
-    start = 0
-    while len(text) - start > size:
-        gap = _SPACE.search(text, start + size)
-        end = gap.start() if gap else len(text)
-        yield text[start:end]
-        start = end
-    yield text[start:] if start else text
 
 
 def _votes(digests: bytes) -> np.ndarray:
