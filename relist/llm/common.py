@@ -18,15 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges that cover `texts`, each of at most `limit` bytes of text or of one row."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[tuple[int, int]]:
+    """Row ranges that cover `texts`, each of at most `rows` rows and `limit` bytes of text, or of one row."""
     if not len(texts):
         return
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(size):
         before = size[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(size, before + limit, side="right")))
+        end = min(start + rows, max(start + 1, int(np.searchsorted(size, before + limit, side="right"))))
         yield start, end
         start = end
 

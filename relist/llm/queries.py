@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import decontaminate, exact, quality, sentencepieces, simhash, substring
+from relist.llm import decontaminate, exact, langid, quality, sentencepieces, simhash, substring
 from relist.llm.common import table
 
 
@@ -43,7 +43,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out).select("text", "lang"))
+    found = langid.with_language(docs.select("doc_id", "text"), model, column="found")
+    return found.select("doc_id", held_out.alias("held_out"), F.col("found.nearest").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.rejected").alias("rejected"))
+
+
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op8_sentencepiece_scan": op8_sentencepiece_scan,
     "op6_quality_ranking": op6_quality_ranking,
