@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import chat, decontaminate, exact, langid, quality, sentencepieces, simhash, substring
+from relist.llm import chat, decontaminate, exact, langid, pii, quality, sentencepieces, simhash, substring
 from relist.llm.common import table
 
+#: The key of the pseudonyms in the query; a user passes their own.
+KEY = b"relist"
+
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +61,15 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns))
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY, column="private")
+    count = lambda kind: F.size(F.filter("private.spans", lambda s: s["kind"] == kind)).cast("long")
+    return done.select("doc_id", F.size("private.spans").cast("long").alias("n_found"), *[count(k).alias(f"n_{k}") for k in ("card", "phone", "ip", "email", "secret")],
+                       F.col("private.text").alias("text"))
+
+
 QUERIES = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op9_chat_format": op9_chat_format,
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
