@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,12 @@ class Powers:
         return np.multiply.accumulate(out)
 
 
+@cache
+def powers(which: int) -> Powers:
+    """The table of a multiplier, shared within a Python worker."""
+    return Powers(which)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit sums, whose low bits alone are weak."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -82,17 +89,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: Powers) -> np.ndarray:
     """A 64-bit hash of every byte span [starts, ends) of `buf`."""
-    up, down = powers.upto(len(buf))
+    up, down = table.upto(len(buf))
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[:len(buf)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def gram_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+def gram_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: Powers) -> np.ndarray:
     """A 64-bit hash of every run [starts, ends) of word hashes."""
-    up, down = powers.upto(len(words))
+    up, down = table.upto(len(words))
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * up[:len(words)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
@@ -116,3 +123,23 @@ def runs_to_mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     np.add.at(edge, starts, 1)
     np.add.at(edge, ends, -1)
     return np.cumsum(edge[:n]) > 0
+
+
+_LETTERS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def clean(text: bytes) -> bytes:
+    """ASCII letters lower-cased, everything between words made spaces."""
+    return text.translate(_LETTERS)
+
+
+def words_of(texts: list[bytes], table: Powers) -> tuple[bytes, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The joined texts, a hash of every word, and (start, end, text number) of every word."""
+    joined = b" ".join(texts)
+    buf = np.frombuffer(joined, np.uint8)
+    inside = np.zeros(len(buf) + 2, np.int8)
+    inside[1:-1] = buf != 32
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return joined, word_hashes(buf, starts, ends, table), (starts, ends, np.searchsorted(offsets, starts, side="right") - 1)

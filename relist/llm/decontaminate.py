@@ -26,21 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import Powers, gram_hashes, runs_to_mask, slices, texts_of, window_minima, word_hashes
+from relist.llm.common import Powers, clean, gram_hashes, powers, runs_to_mask, slices, texts_of, window_minima, words_of
 from relist.session import materialize
 
 WINDOW, GRAM = 10, 5
 BLOCK_WINDOWS = 200_000
 FOUND = "struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<start:bigint,end:bigint>>>"
 
-_LETTERS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-
-
-def clean(text: bytes) -> bytes:
-    """ASCII letters lower-cased, everything between words made spaces."""
-    return text.translate(_LETTERS)
-
-
 def windows_of(text: bytes) -> list[tuple[bytes, int]]:
     words = clean(text).split()
     size = min(WINDOW, len(words))
@@ -75,26 +67,14 @@ class Fingerprints:
             self.lookup[size] = np.unique(whole)
             if size == WINDOW:
                 starts = np.arange(len(whole))[:, None] * size + np.arange(WINDOW - GRAM + 1)
-                grams = gram_hashes(words, starts.ravel(), starts.ravel() + GRAM, Powers(1))
+                grams = gram_hashes(words, starts.ravel(), starts.ravel() + GRAM, powers(1))
                 self.grams = np.unique(grams.reshape(starts.shape).min(axis=1))
 
     @staticmethod
     def _hashes(windows: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-        _, words, _ = words_of(windows, Powers(0))
+        _, words, _ = words_of(windows, powers(0))
         starts = np.arange(len(windows)) * size
-        return words, gram_hashes(words, starts, starts + size, Powers(1))
-
-
-def words_of(texts: list[bytes], powers: Powers) -> tuple[bytes, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The joined texts, a hash of every word, and (start, end, text number) of every word."""
-    joined = b" ".join(texts)
-    buf = np.frombuffer(joined, np.uint8)
-    inside = np.zeros(len(buf) + 2, np.int8)
-    inside[1:-1] = buf != 32
-    edges = np.flatnonzero(np.diff(inside))
-    starts, ends = edges[::2], edges[1::2]
-    offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return joined, word_hashes(buf, starts, ends, powers), (starts, ends, np.searchsorted(offsets, starts, side="right") - 1)
+        return words, gram_hashes(words, starts, starts + size, powers(1))
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -152,7 +132,7 @@ _FOUND_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item
 
 def _finder(sent):
     def find(texts: pa.Array, before: pa.Array) -> pa.Array:
-        tables, out = (Powers(0), Powers(1)), []
+        tables, out = (powers(0), powers(1)), []
         earlier = before.to_pylist()
         for start, end in slices(texts):
             for k, (n, spans, items) in enumerate(_scan(texts_of(texts, start, end), sent.value, tables)):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import chat, decontaminate, exact, langid, pii, quality, sentencepieces, simhash, substring
+from relist.llm import chat, decontaminate, exact, langid, licences, pii, quality, sentencepieces, simhash, substring
 from relist.llm.common import table
 
 #: The key of the pseudonyms in the query; a user passes their own.
@@ -68,7 +68,18 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("private.text").alias("text"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.with_licences(docs, licences.train(docs), column="found")
+    sure = F.filter("found.finds", lambda x: x["confirmed"])
+    families = F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"])))
+    return found.select(
+        "doc_id", F.col("found.paragraphs").alias("n_paragraphs"), F.concat_ws(",", families).alias("families"), F.size(sure).cast("long").alias("n_confirmed"),
+        (F.size("found.finds") - F.size(sure)).cast("long").alias("n_unconfirmed"))
+
+
 QUERIES = {
+    "op10_licence_scan": op10_licence_scan,
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op9_chat_format": op9_chat_format,
     "op2_language_id": op2_language_id,

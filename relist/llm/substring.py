@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import SLICE_BYTES, Powers, gram_hashes, pieces, runs_to_mask, slices, texts_of, window_minima, word_hashes
+from relist.llm.common import SLICE_BYTES, Powers, gram_hashes, pieces, powers, runs_to_mask, slices, texts_of, window_minima, word_hashes
 from relist.session import materialize
 
 WINDOW, GRAM = 35, 12
@@ -43,14 +43,14 @@ _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 class Words:
     """The words of several texts: their places, hashes and texts."""
 
-    def __init__(self, texts: list[bytes], powers: Powers):
+    def __init__(self, texts: list[bytes], table: Powers):
         starts, ends, hashes, before = [], [], [], 0
         for part in pieces(b" ".join(texts), 4 * SLICE_BYTES):
             buf = np.frombuffer(part, np.uint8)
             inside = np.zeros(len(buf) + 2, np.int8)
             inside[1:-1] = ~_SPACES[buf]
             edges = np.flatnonzero(np.diff(inside))
-            hashes.append(word_hashes(buf, edges[::2], edges[1::2], powers))
+            hashes.append(word_hashes(buf, edges[::2], edges[1::2], table))
             starts.append(edges[::2] + before)
             ends.append(edges[1::2] + before)
             before += len(part)
@@ -92,7 +92,7 @@ class Anchors:
 
 
 def _tables() -> list[Powers]:
-    return [Powers(0), Powers(1), Powers(2)]
+    return [powers(0), powers(1), powers(2)]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -130,7 +130,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept_parts(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    words = Words([text], Powers(0))
+    words = Words([text], powers(0))
     n = len(words.hashes)
     edges = np.array(spans, np.int64).reshape(-1, 2).clip(0, n)
     return n, words.starts, words.ends, runs_to_mask(n, edges[:, 0], edges[:, 1])
