@@ -1,8 +1,8 @@
 """Exact dedup by content-defined chunk recipes, in DataFrame operations only.
 
 A text is normalised (every run of the bytes 0x20, 0x09-0x0D becomes one space) and cut into chunks
-where its content says so: after at least MIN_CHUNK characters, at the next place that CUT matches,
-at MAX_CHUNK at the latest. A chunk's identifier is its 64-bit hash, verified by comparing the texts
+where its content says so: after at least MIN_CHUNK characters, behind the next match of CUT,
+at MAX_CHUNK at the latest (also where a script never matches CUT). A chunk's identifier is its 64-bit hash, verified by comparing the texts
 of all chunks that share it: text moves once, chunk by chunk, after a map-side merge of equal hashes.
 Where two texts share a hash, ordinals tell them apart. Texts are equal if their ordered identifier
 lists are equal, so documents are grouped by those short lists and never move as a whole.
@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from relist.session import materialize
 
-SPACE = r"[\x20\x09-\x0D]+"
+#: Runs that are not one space already.
+SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 MIN_CHUNK, MAX_CHUNK = 512, 8192
-CUT = r"(?:[ae][nrt][ d-h][a-m][ei]|[。！？।۔؟])"
+CUT, CUT_LENGTH = "[ae][nrt][ d-h][a-m][ei]", 5
 
 
 def normalise(text: Column) -> Column:
@@ -36,7 +37,7 @@ def normalise(text: Column) -> Column:
 
 
 def chunks(text: Column) -> Column:
-    pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?(?i:(?<={CUT}))|.{{1,{MAX_CHUNK}}}"
+    pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK - CUT_LENGTH}}}?{CUT}|.{{1,{MAX_CHUNK}}}"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
