@@ -77,6 +77,10 @@ def run_page_summary(pages: DataFrame, page_counts: DataFrame) -> DataFrame:
     return counted.withColumn("is_empty", F.col("n_new") + F.col("n_existing") + F.col("n_errors") == 0)
 
 
+#: Closing text of a page that was landed but lies behind the end of its run.
+NOT_PROCESSED = "Behind the end of the run"
+
+
 def run_page_id(*keys):
     return hex_id(*keys, F.lit("run"))
 
@@ -94,11 +98,16 @@ def open_run_page(pages: DataFrame, run_ts: datetime | str) -> DataFrame:
 def close_run_page(pages: DataFrame, page_ids: DataFrame, run_ts: datetime | str, end_ts: datetime | str) -> DataFrame:
     """The closing version of the same row: id lists and end, or the error text.
 
-    A page without content failed to load. Its raw page id is recorded all the same.
+    A page without content failed to load. Its raw page id is recorded all the same. Where the
+    text is stored elsewhere, `has_content` tells; `processed` is false for pages behind the
+    end of their run.
     """
     empty = F.array().cast("array<string>")
-    failed = F.col("content").isNull()
+    failed = ~F.col("has_content") if "has_content" in pages.columns else F.col("content").isNull()
     error = F.col("fetch_error") if "fetch_error" in pages.columns else F.lit("Page has no content")
+    if "processed" in pages.columns:
+        error = F.when(F.col("processed"), error).otherwise(F.lit(NOT_PROCESSED))
+        failed = failed | ~F.col("processed")
     return pages.join(page_ids, "raw_page_id", "left").select(
         run_page_id(F.col("raw_page_id"), run_time(run_ts)).alias("run_page_id"), "source",
         run_time(run_ts).alias("start_time"), "raw_page_id",
@@ -114,5 +123,6 @@ def run_page_view(events: DataFrame) -> DataFrame:
 
 def run_page_status(history: DataFrame) -> DataFrame:
     return history.withColumn(
-        "status", F.when(F.col("run_error").isNotNull(), F.lit("failed"))
+        "status", F.when(F.col("run_error") == NOT_PROCESSED, F.lit("skipped"))
+        .when(F.col("run_error").isNotNull(), F.lit("failed"))
         .when(F.col("end_time").isNull(), F.lit("running")).otherwise(F.lit("succeeded")))

@@ -144,6 +144,8 @@ def posting_episodes(sightings: DataFrame, stored: DataFrame | None = None, gap_
     The outcome is what the sighting met when it arrived: the first of an unseen key is
     new, one that opens a later episode is reposted, all others are existing.
     """
+    if gap_days < 1:
+        raise ValueError("gap_days must be at least 1")
     arrived = F.filter("starts", lambda s: s["arrival"].isNull() | (s["arrival"] <= _arrival()))
     opens = F.col("_at.arrival").isNotNull() & (F.col("_at.arrival") == _arrival())
     large = larger_keys(sightings, S.KEYS, fold_limit, stage)

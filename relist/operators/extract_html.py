@@ -53,8 +53,12 @@ def html_rows(content: Column, root: str, fields: Sequence[HtmlField]) -> Column
     def rows(html: str | None, seen: dict):
         if html is None:
             return None
-        page = Page(html, seen)
-        return [{f.name: read(page, i, f, p) for f, p in zip(fields, paths)} for i in page.select(root_path)]
+        try:
+            page = Page(html, seen)
+            return [{f.name: read(page, i, f, p) for f, p in zip(fields, paths)} for i in page.select(root_path)]
+        except (ValueError, IndexError, KeyError, RecursionError):
+            # A page that cannot be read gives one listing without fields, which the field check reports.
+            return [{f.name: html if f.what == "outer" else None for f in fields}]
 
     @F.arrow_udf(T.ArrayType(row))
     def extract(contents: pa.Array) -> pa.Array:

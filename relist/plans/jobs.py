@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,25 +47,45 @@ def other_dates(tagged: DataFrame) -> DataFrame:
         *[f.name for f in tables.POSTING_DATE_ROW.fields])
 
 
-def _reconcile(spark: SparkSession, root: str, batch_id: int, landed: DataFrame,
-               specs: Mapping[str, S.SourceSpec], gap_days: int, stage: str) -> tuple[DataFrame, DataFrame]:
-    """Extract once into a stage table, then tag every valid listing."""
-    checked = materialize(validate.required_fields_check(registry.extract_pages(landed, specs)), "extracted", stage)
-    stored = tables.current_postings(spark, root, before=batch_id)
-    tagged = episodes.posting_episodes(validate.route_valid(checked), stored, gap_days, stage=stage)
-    return checked, materialize(tagged, "tagged", stage)
+def _known_sources(sources: Sequence[str], specs: Mapping[str, S.SourceSpec]) -> None:
+    """Refuse sources nothing is registered for."""
+    unknown = sorted(set(sources) - set(specs))
+    if unknown:
+        raise ValueError(f"Unknown source: {', '.join(unknown)}")
+
+
+def _checked(landed: DataFrame, specs: Mapping[str, S.SourceSpec], stage: str) -> DataFrame:
+    """Extract once into a stage table."""
+    return materialize(validate.required_fields_check(registry.extract_pages(landed, specs)), "extracted", stage)
 
 
 def _save(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame, errors: DataFrame,
-          run_ts: datetime | str) -> None:
+          run_ts: datetime | str, stored: DataFrame) -> None:
     """Save, then publish; each table's batch folder appears as a whole or not at all."""
-    stored = tables.current_postings(spark, root, before=batch_id)
+    changed = changed_postings(tagged, stored, run_ts)
     tables.append_errors(errors, root, batch_id)
     tables.write_batch(other_dates(tagged), root, "posting_dates", batch_id)
-    tables.write_batch(changed_postings(tagged, stored, run_ts), root, "postings", batch_id)
+    tables.write_batch(changed, root, "postings", batch_id)
+    written = tables.read_table(spark, root, "postings", before=batch_id + 1, after=batch_id - 1)
+    validate.assert_unique_key(written, ["posting_id"])
     tables.publish_changes(publish.publish_projection(reconcile.union_changed(tagged)), root, batch_id)
 
 
+def _land(spark: SparkSession, root: str, batch_id: int, offered: DataFrame, specs: Mapping[str, S.SourceSpec],
+          run_ts: datetime | str, stage: str) -> tuple[DataFrame, DataFrame]:
+    """Store what arrived before any work on it: texts, strangers, opening rows of the history.
+
+    Returns the landed texts as read back, and one row per page of a known source without its text.
+    """
+    known = F.coalesce(F.col("source").isin(*specs), F.lit(False))
+    tables.write_batch(offered.where(~known).select(*S.RAW_PAGE.fieldNames()), root, "quarantined_pages", batch_id)
+    tables.append_raw_page(offered.where(known & F.col("content").isNotNull()), root, batch_id)
+    pages = offered.where(known).withColumn("has_content", F.col("content").isNotNull()).drop("content")
+    pages = materialize(frontier.with_run(pages), "pages", stage)
+    tables.append_run_pages(accounting.open_run_page(pages, run_ts), root, batch_id)
+    return tables.read_table(spark, root, "raw_pages", before=batch_id + 1, after=batch_id - 1).drop("batch_id", "capture_date"), pages
+
+
 def run_ingest(
     spark: SparkSession, root: str, pages: DataFrame, batch_id: int, run_ts: datetime | str, *,
     sources: Sequence[str] = (), start_page: int = 1, end_page: int | None = None,
@@ -73,32 +93,58 @@ def run_ingest(
     gap_days: int = S.REPOST_GAP_DAYS, specs: Mapping[str, S.SourceSpec] = registry.DEFAULT_REGISTRY,
     end_ts: datetime | str | None = None,
 ) -> RunResult:
-    """Land pages, extract, reconcile, stop at each source's frontier, save, publish, account.
+    """Land pages, extract, reconcile, end each run at its frontier, save, publish, account.
 
-    `pages` has the raw page columns; content is null where a page failed to load. Pages
-    behind a source's frontier are not read by the run and leave no trace.
+    `pages` has the raw page columns and optionally run_id, see frontier.with_run; content is null where a
+    page failed to load. Every page is landed and opened in the history before anything is extracted, so a
+    failure later on leaves a trace; pages of unknown sources are quarantined. Pages
+    behind the end of their run are landed and marked, but not worked on; the end is
+    stored, and later batches of the run know it, so a run may arrive in one batch or in many.
     """
     configure(spark)
+    _known_sources(sources, specs)
+    if with_details and detail_pages is None:
+        raise ValueError("with_details needs detail_pages")
     stage = scratch_path(spark, "ingest")
-    offered = page_source.page_range(page_source.select_sources(pages, sources), start_page, end_page)
-    checked, tagged = _reconcile(spark, root, batch_id, offered, specs, gap_days, stage)
-    informed = frontier.page_new_info(offered.drop("content"), tagged)
-    # One row per source, so every use of it is a broadcast by measured size.
-    stops = materialize(frontier.frontier_stops(informed, end_page), "stops", stage)
-    read = frontier.within_frontier(offered, stops)
-    tagged = frontier.within_frontier(tagged, stops)
-    errors = validate.route_errors(frontier.within_frontier(checked, stops))
-
-    tables.append_raw_page(read.where(F.col("content").isNotNull()), root, batch_id)
-    _save(spark, root, batch_id, tagged, errors, run_ts)
-    ids = accounting.run_page_ids(tagged, errors)
-    opened = accounting.open_run_page(read, run_ts)
-    closed = accounting.close_run_page(read, ids, run_ts, end_ts or run_ts)
-    tables.append_run_pages(opened.unionByName(closed), root, batch_id)
-    if with_details and detail_pages is not None:
-        run_details(spark, root, detail_pages, batch_id, run_ts)
-    counts = accounting.page_outcome_counts(tagged, errors)
-    return RunResult(read.drop("content"), tagged, errors, accounting.replay_totals(counts), stage)
+    try:
+        offered = page_source.page_range(page_source.select_sources(pages, sources), start_page, end_page)
+        landed, index = _land(spark, root, batch_id, offered, specs, run_ts, stage)
+        known_stops = tables.read_table(spark, root, "run_stops", before=batch_id).groupBy(*frontier.RUN).agg(F.min("stop_page").alias("stop_page"))
+        runs = frontier.runs_in_order(index, tables.read_table(spark, root, "page_runs", before=batch_id))
+        index = materialize(index.join(runs, list(frontier.RUN)), "page-index", stage)
+        checked = _checked(landed, specs, stage)
+        stored = tables.current_postings(spark, root, before=batch_id)
+        # Within a run pages arrive by number: the time of a listing's arrival is that of its run.
+        place = index.groupBy("raw_page_id").agg(F.min("run_at").alias("captured_at"))
+        valid = materialize(validate.route_valid(checked).drop("captured_at").join(place, "raw_page_id"), "valid", stage)
+
+        def fold(open_pages: DataFrame) -> DataFrame:
+            rows = valid.join(open_pages.select("raw_page_id"), "raw_page_id", "left_semi")
+            return materialize(episodes.posting_episodes(rows, stored, gap_days, stage=stage), "tagged", stage)
+
+        marked, tagged, stops = frontier.settle_runs(index, known_stops, fold, end_page, lambda df, name: materialize(df, name, stage))
+        marked = materialize(marked, "marked", stage)
+        done = marked.where("processed").drop("run_no", "run_at", "processed")
+        errors = validate.route_errors(checked.join(done.select("raw_page_id"), "raw_page_id", "left_semi"))
+
+        _save(spark, root, batch_id, tagged, errors, run_ts, stored)
+        tables.write_batch(marked.select(*S.PAGE_RUN.fieldNames()), root, "page_runs", batch_id)
+        tables.write_batch(stops.select(*frontier.RUN, "stop_page"), root, "run_stops", batch_id)
+        closed = accounting.close_run_page(marked, accounting.run_page_ids(tagged, errors), run_ts, end_ts or _ended(run_ts))
+        tables.append_run_pages(closed, root, batch_id, more=True)
+        if with_details:
+            run_details(spark, root, detail_pages, batch_id, run_ts, sources or sorted(specs))
+        counts = accounting.page_outcome_counts(tagged, errors)
+        return RunResult(done, tagged, errors, accounting.replay_totals(counts), stage)
+    except BaseException:
+        release(spark, stage)
+        raise
+
+
+def _ended(run_ts: datetime | str) -> datetime:
+    """When the run ends: now, by the clock of the driver, but not before it began."""
+    began = datetime.fromisoformat(run_ts) if isinstance(run_ts, str) else run_ts
+    return max(datetime.now(timezone.utc).replace(tzinfo=None), began.replace(tzinfo=None))
 
 
 def run_replay(
@@ -111,13 +157,20 @@ def run_replay(
     Nothing is landed and no history is written; there is no frontier.
     """
     configure(spark)
+    _known_sources([source], specs)
     stage = scratch_path(spark, "replay")
-    landed = page_source.scan_raw_pages(tables.read_table(spark, root, "raw_pages", before=batch_id), source, start_ts, end_ts)
-    checked, tagged = _reconcile(spark, root, batch_id, landed, specs, gap_days, stage)
-    errors = validate.route_errors(checked)
-    _save(spark, root, batch_id, tagged, errors, run_ts)
-    counts = accounting.page_outcome_counts(tagged, errors)
-    return RunResult(landed.drop("content"), tagged, errors, accounting.replay_totals(counts), stage)
+    try:
+        landed = page_source.scan_raw_pages(tables.read_table(spark, root, "raw_pages", before=batch_id), source, start_ts, end_ts)
+        checked = _checked(landed, specs, stage)
+        stored = tables.current_postings(spark, root, before=batch_id)
+        tagged = materialize(episodes.posting_episodes(validate.route_valid(checked), stored, gap_days, stage=stage), "tagged", stage)
+        errors = validate.route_errors(checked)
+        _save(spark, root, batch_id, tagged, errors, run_ts, stored)
+        counts = accounting.page_outcome_counts(tagged, errors)
+        return RunResult(landed.drop("content"), tagged, errors, accounting.replay_totals(counts), stage)
+    except BaseException:
+        release(spark, stage)
+        raise
 
 
 def run_details(spark: SparkSession, root: str, detail_pages: DataFrame, batch_id: int, run_ts: datetime | str,
@@ -128,9 +181,11 @@ def run_details(spark: SparkSession, root: str, detail_pages: DataFrame, batch_i
     postings = page_source.select_sources(tables.current_postings(spark, root, before=batch_id + 1), sources)
     done = tables.read_table(spark, root, "posting_details", before=batch_id)
     stage = scratch_path(spark, "details")
-    backlog = materialize(details.details_backlog(postings, done).select("posting_id", "url"), "backlog", stage)
-    tables.append_details(details.attach_details(backlog, detail_pages, run_ts), root, batch_id)
-    release(spark, stage)
+    try:
+        backlog = materialize(details.details_backlog(postings, done).select("posting_id", "url"), "backlog", stage)
+        tables.append_details(details.attach_details(backlog, detail_pages, run_ts), root, batch_id)
+    finally:
+        release(spark, stage)
     return tables.read_table(spark, root, "posting_details").where(F.col("batch_id") == batch_id)
 
 

@@ -82,6 +82,13 @@ POSTING_DETAIL = _struct(
     ("detail_id", _S, False), ("posting_id", _S, False), ("html", _S, True),
     ("error", _S, True), ("created_at", _TS, False),
 )
+# Which run a landed page belongs to, and whether that run worked on it.
+PAGE_RUN = _struct(
+    ("raw_page_id", _S, False), ("source", _S, False), ("run_id", _S, False), ("page", _I, False),
+    ("captured_at", _TS, False), ("has_content", T.BooleanType(), False), ("processed", T.BooleanType(), False),
+)
+# The first page of a run that brought nothing new; later batches of the run end there too.
+RUN_STOP = _struct(("source", _S, False), ("run_id", _S, False), ("stop_page", _I, False))
 TABLES = {
     "raw_pages": RAW_PAGE,
     "postings": POSTING,

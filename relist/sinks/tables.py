@@ -7,9 +7,10 @@ the latest version of each posting; compaction folds the batches so far into a b
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,7 @@ POSTING_DATE_ROW = T.StructType([
 MESSAGE_ROW = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 STORED = {
     **S.TABLES, "postings": POSTING_ROW, "posting_dates": POSTING_DATE_ROW, "published": MESSAGE_ROW,
-    "run_page_events": S.RUN_PAGE,
+    "run_page_events": S.RUN_PAGE, "page_runs": S.PAGE_RUN, "run_stops": S.RUN_STOP, "quarantined_pages": S.RAW_PAGE,
 }
 
 
@@ -38,23 +39,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    if not exists(spark, path):
-        return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
-    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
-
-
-def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Append one batch. Running the batch again replaces its folder.
+def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = (), more: bool = False) -> None:
+    """Append one batch. Running the batch again replaces its folder; `more` adds rows to what the batch has written.
 
     Rows are rebalanced by the partition columns: small partitions get one file each, and
     a partition with much of the data is split over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/{table}/batch_id={batch_id}")
+    df.write.mode("append" if more else "overwrite").partitionBy(*partition_by).parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, root: str, table: str, before: int | None = None, after: int | None = None) -> DataFrame:
@@ -87,8 +80,8 @@ def append_details(details: DataFrame, root: str, batch_id: int) -> None:
     write_batch(details, root, "posting_details", batch_id)
 
 
-def append_run_pages(events: DataFrame, root: str, batch_id: int) -> None:
-    write_batch(events, root, "run_page_events", batch_id)
+def append_run_pages(events: DataFrame, root: str, batch_id: int, more: bool = False) -> None:
+    write_batch(events, root, "run_page_events", batch_id, more=more)
 
 
 def publish_changes(messages: DataFrame, root: str, batch_id: int) -> None:
@@ -113,57 +106,87 @@ def prune_layout(df: DataFrame, keys: Sequence[str] = tuple(S.KEYS)) -> DataFram
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def committed_bases(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(upto, folder name) of the finished bases, oldest first; a folder without its commit mark is not a base."""
+    path = f"{root}/postings_base"
+    if not exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+    found = [(int(m[1]), int(m[2] or 0), n) for n in names if (m := re.fullmatch(r"upto=(\d+)(?:-(\d+))?", n))]
+    return [(upto, name) for upto, _, name in sorted(found) if exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
 def current_postings(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """The postings table as of the batches before `before`.
 
     The base is only filtered against the ids changed since; it is not regrouped.
     """
     names = [f.name for f in POSTING_ROW.fields]
-    bases = [n for n in _children(spark, f"{root}/postings_base", "upto=") if before is None or n < before]
-    log = read_table(spark, root, "postings", before=before, after=bases[-1] if bases else None)
+    bases = [b for b in committed_bases(spark, root) if before is None or b[0] < before]
+    log = read_table(spark, root, "postings", before=before, after=bases[-1][0] if bases else None)
     latest = dedupe_last_by_key(log, ["posting_id"], ["batch_id"]).select(*names)
     if not bases:
         return latest
-    base = spark.read.schema(POSTING_ROW).parquet(f"{root}/postings_base/upto={bases[-1]}")
+    base = spark.read.schema(POSTING_ROW).parquet(f"{root}/postings_base/{bases[-1][1]}")
     return upsert_postings(base, latest).select(*names)
 
 
 def compact_postings(spark: SparkSession, root: str, upto: int) -> None:
-    """Write the table as of batch `upto` as the new base, in its pruning layout."""
-    prune_layout(current_postings(spark, root, before=upto + 1)).write.mode("overwrite").parquet(
-        f"{root}/postings_base/upto={upto}")
+    """Write the table as of batch `upto` as a new base, in its pruning layout.
+
+    Always into a folder of its own: what is there is being read, and what a broken-off
+    compaction left is never taken for a base, as only a finished write has its commit mark.
+    """
+    path, taken = f"{root}/postings_base/upto={upto}", 0
+    while exists(spark, path):
+        taken += 1
+        path = f"{root}/postings_base/upto={upto}-{taken}"
+    base = prune_layout(current_postings(spark, root, before=upto + 1))
+    base.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
 
 
-def posting_documents(postings: DataFrame, dates: DataFrame, dates_per_row: int = 100_000) -> DataFrame:
-    """Postings with their other dates as an array, in arrival order.
+def posting_documents(postings: DataFrame, dates: DataFrame) -> DataFrame:
+    """Postings with their other dates as arrays, one row for each page that brought dates.
 
-    A posting with very many dates gives several rows, numbered by `part`, each with a
-    run of the list; together they hold all of it. Parts are cut between capture hours,
-    from counts per hour; only the few cuts (at most one per dates_per_row dates) are
-    brought to the rows, so no task needs a whole list.
+    (captured_at, page) orders the rows of a posting and its place in the page the dates of a row, so
+    no list is longer than a page, however often a posting is seen. A posting
+    without other dates has one row with an empty list and neither time nor page.
     """
-    hour = F.date_trunc("hour", F.col("captured_at"))
-    hourly = dates.select("posting_id", hour.alias("_hour")).groupBy("posting_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
-    in_order = Window.partitionBy("posting_id").orderBy("_hour")
-    before = F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = hourly.withColumn("_part", F.floor(before / dates_per_row)).withColumn(
-        "_previous", F.coalesce(F.lag("_part").over(in_order), F.lit(0)))
-    cuts = numbered.where(F.col("_part") > F.col("_previous")).groupBy("posting_id").agg(F.collect_list("_hour").alias("_cuts"))
-    part = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= hour)), F.lit(0))
-    arrived = F.struct("captured_at", "page", "ordinal", "posting_date")
-    lists = (dates.join(cuts, "posting_id", "left").withColumn("part", part)
-             .repartition("posting_id", "part").groupBy("posting_id", "part").agg(F.sort_array(F.collect_list(arrived)).alias("_dates"))
-             .select("posting_id", "part", F.col("_dates.posting_date").alias("other_posting_dates")))
-    whole = postings.drop("other_posting_dates").join(lists, "posting_id", "left")
+    by = ["posting_id", "captured_at", "page"]
+    arrived = F.struct("ordinal", "posting_date")
+    lists = dates.groupBy(*by).agg(F.sort_array(F.collect_list(arrived)).alias("_dates")).select(
+        *by, F.col("_dates.posting_date").alias("other_posting_dates"))
+    whole = postings.drop("other_posting_dates", "captured_at", "page").join(lists, "posting_id", "left")
     empty = F.array().cast(lists.schema["other_posting_dates"].dataType)
-    return whole.withColumn("part", F.coalesce("part", F.lit(0))).withColumn(
-        "other_posting_dates", F.coalesce("other_posting_dates", empty))
+    return whole.withColumn("other_posting_dates", F.coalesce("other_posting_dates", empty))
+
+
+SNAPSHOT = [t for t in STORED if t != "run_pages"]
 
 
 def export_snapshot(spark: SparkSession, root: str, dest: str, date: str) -> None:
-    """Dated copy of all tables; an existing copy of that date is refused."""
-    for table in STORED:
-        if table in ("published", "run_pages"):
-            continue
-        rows = current_postings(spark, root) if table == "postings" else read_table(spark, root, table)
-        rows.drop("batch_id", "capture_date").write.mode("errorifexists").parquet(f"{dest}/{date}/{table}")
+    """Dated copy of all tables; an existing copy of that date is refused.
+
+    Rows keep the batch they were written by, postings that of their last version, so a copy can be
+    worked on as the original can.
+    """
+    for table in SNAPSHOT:
+        if table == "postings":
+            rows = dedupe_last_by_key(read_table(spark, root, "postings"), ["posting_id"], ["batch_id"])
+        elif table == "published":
+            rows = read_published(spark, root)
+        else:
+            rows = read_table(spark, root, table).drop("capture_date")
+        rows.write.mode("errorifexists").parquet(f"{dest}/{date}/{table}")
+
+
+def load_snapshot(spark: SparkSession, dest: str, date: str, root: str) -> None:
+    """Working tables under a new `root` from a dated copy."""
+    for table in SNAPSHOT:
+        rows = spark.read.schema(T.StructType([*STORED[table].fields, BATCH])).parquet(f"{dest}/{date}/{table}")
+        layout = ["batch_id"]
+        if table == "raw_pages":
+            rows, layout = rows.withColumn("capture_date", F.to_date("captured_at")), ["batch_id", "source", "capture_date"]
+        writer = rows.hint("rebalance", *layout).write.mode("errorifexists").partitionBy(*layout)
+        (writer.json if table == "published" else writer.parquet)(f"{root}/{table}")

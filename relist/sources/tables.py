@@ -80,5 +80,6 @@ def distinct_urls(batch: DataFrame) -> DataFrame:
 
 def restore_snapshot(spark: SparkSession, root: str, date: str, table: str,
                      schema: T.StructType | None = None) -> DataFrame:
-    """One table of a dated export."""
-    return spark.read.schema(schema or TABLES[table]).parquet(f"{root}/{date}/{table}")
+    """One table of a dated export, as its readers see it; tables without a schema of their own keep that of the copy."""
+    reader = spark.read.schema(schema or TABLES[table]) if schema or table in TABLES else spark.read
+    return reader.parquet(f"{root}/{date}/{table}")

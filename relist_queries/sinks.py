@@ -107,14 +107,12 @@ def export_snapshot(spark, sf):
 
 @query("posting_documents", f"""
 WITH {LINEITEM_SIGHTINGS}
-SELECT url AS posting_id, array_to_string(list(epoch_ms(posting_date) ORDER BY captured_at, page, ordinal, posting_date), '|') AS dates
-FROM sightings GROUP BY url""")
+SELECT url AS posting_id, epoch_ms(captured_at) AS captured_at, page,
+       array_to_string(list(epoch_ms(posting_date) ORDER BY ordinal, posting_date), '|') AS dates
+FROM sightings GROUP BY ALL""")
 def posting_documents(spark, sf):
-    """Date lists per posting; the parts of a long list, put together, hold all of it."""
+    """Date lists per posting and page."""
     dates = lineitem_sightings(spark, sf).withColumn("posting_id", F.col("url"))
-    postings = dates.select("posting_id").distinct()
-    documents = T.posting_documents(postings, dates, dates_per_row=10)
+    documents = T.posting_documents(dates.select("posting_id").distinct(), dates)
     ms = F.transform("other_posting_dates", lambda d: F.unix_millis(d.cast("timestamp"))).cast("array<string>")
-    parts = documents.select("posting_id", F.struct("part", F.array_join(ms, "|").alias("run")).alias("piece"))
-    whole = parts.groupBy("posting_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
-    return whole.select("posting_id", F.array_join(F.col("pieces.run"), "|").alias("dates"))
+    return flat(documents.select("posting_id", "captured_at", "page", F.array_join(ms, "|").alias("dates")))

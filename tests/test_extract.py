@@ -15,7 +15,7 @@ from relist.operators import extract_json as J
 from relist.operators import registry as R
 from relist.operators import validate as V
 from relist.operators.html_elements import Page, compile_path
-from relist.schemas import HTML_SOURCE, JSON_SOURCE
+from relist.schemas import CARD_PATH, HTML_SOURCE, JSON_SOURCE
 
 
 def checked(pages):
@@ -207,3 +207,11 @@ print("found", spark.createDataFrame([("<p id=x>a<p>b",)], ["h"]).select(html_se
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert "found ['a', 'b']" in out.stdout, out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("attributes", ["data-n=O'Brien", 'data-n=5"', "data-n='a\"b'", 'data-n="it\'s"', "it's", '"', "data-n=", "data-n = 'x > y'", "alt=x/"])
+def test_stray_quotes_do_not_swallow_cards(spark, attributes):
+    """A quote opens a value only behind the equals sign; elsewhere it is a character like others."""
+    page = f"<div id=search-results><div id=jobs><div class=job {attributes}>a</div><div class=job>b, it's</div><div class='job'>c</div></div></div>"
+    rows = spark.createDataFrame([(page,)], "content string").select(H.html_select_all(F.col("content"), CARD_PATH).alias("t"))
+    assert rows.first().t == ["a", "b, it's", "c"]

@@ -40,7 +40,9 @@ def test_run_stops_where_nothing_is_new(spark, root):
     assert counts(result) == (0, 20, 0)
     assert [r.page for r in result.pages.collect()] == [1]
     assert table(spark, root).count() == 20
-    assert table(spark, root, "raw_pages").where("batch_id = 1").count() == 1
+    assert table(spark, root, "raw_pages").where("batch_id = 1").count() == 2
+    marks = table(spark, root, "page_runs").where("batch_id = 1").collect()
+    assert {r.page: r.processed for r in marks} == {1: True, 2: False}
 
 
 def test_json_reingest_updates_in_place(spark, root):
@@ -63,8 +65,8 @@ def test_repost_opens_another_posting(spark, root):
         jobs.run_ingest(spark, root, pages, batch, datetime(2020, 4, 1 + batch))
     rows = table(spark, root).orderBy("posting_date").collect()
     assert [r.posting_date - rows[0].posting_date for r in rows] == [timedelta(0), timedelta(days=30)]
-    docs = {r.posting_id: r.other_posting_dates for r in T.posting_documents(table(spark, root), table(spark, root, "posting_dates")).collect()}
-    gaps = [[(d - rows[0].posting_date).days for d in docs[r.posting_id]] for r in rows]
+    docs = T.posting_documents(table(spark, root), table(spark, root, "posting_dates")).orderBy("captured_at", "page").collect()
+    gaps = [[(d - rows[0].posting_date).days for x in docs if x.posting_id == r.posting_id for d in x.other_posting_dates] for r in rows]
     assert gaps == [[29], [45, 10]]
 
 
@@ -104,14 +106,15 @@ def test_history(spark, root):
         (JSON_SOURCE, 1, "not json"), (JSON_SOURCE, 2, json_page([hit()]))])
     result = jobs.run_ingest(spark, root, pages, 0, RUN, end_ts="2020-04-01 03:00:09")
     rows = {(r.source, r.page): r for r in jobs.run_history(spark, root).join(pages.select("raw_page_id", "page"), "raw_page_id").collect()}
-    assert {k: r.status for k, r in rows.items()} == {(HTML_SOURCE, 1): "succeeded", (HTML_SOURCE, 2): "failed", (JSON_SOURCE, 1): "succeeded"}
+    assert {k: r.status for k, r in rows.items()} == {(HTML_SOURCE, 1): "succeeded", (HTML_SOURCE, 2): "failed", (HTML_SOURCE, 3): "skipped",
+                                                    (JSON_SOURCE, 1): "succeeded", (JSON_SOURCE, 2): "skipped"}
     done = rows[HTML_SOURCE, 1]
     assert (len(done.new_ids), len(done.existing_ids), len(done.error_ids)) == (1, 0, 1)
     assert (done.end_time - done.start_time).seconds == 9
     assert rows[HTML_SOURCE, 2].run_error == "Page has no content"
     assert len(rows[JSON_SOURCE, 1].error_ids) == 1
     assert counts(result) == (1, 0, 2)
-    assert table(spark, root, "raw_pages").count() == 2
+    assert table(spark, root, "raw_pages").count() == 4
 
 
 def test_open_page_counts_as_running(spark):
@@ -179,11 +182,117 @@ def test_stream_equals_batch_equals_replay(spark, tmp_path):
         docs = T.posting_documents(T.current_postings(spark, root), T.read_table(spark, root, "posting_dates"))
         return sorted(map(str, docs.drop("created_at", "modified_at").collect()))
 
-    assert len(state(roots["batch"])) == 7
+    assert T.current_postings(spark, roots["batch"]).count() == 7
     assert state(roots["stream"]) == state(roots["batch"]) == state(roots["replay"])
     assert T.read_table(spark, roots["stream"], "postings").select("batch_id").distinct().count() == 4
 
 
+def json_pages(spark, *ids_at, run=None):
+    """One JSON page per (listing id, minute of its capture), numbered from 1."""
+    pages = raw_pages(spark, [(JSON_SOURCE, 1 + k, json_page([hit(i)]), CAPTURED + timedelta(minutes=at)) for k, (i, at) in enumerate(ids_at)])
+    pages = pages.withColumn("raw_page_id", F.concat_ws("-", "raw_page_id", "captured_at"))
+    return pages if run is None else pages.withColumn("run_id", F.lit(run))
+
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_micro_batches_do_not_decide_where_a_run_ends(spark, tmp_path, files):
+    """Page 2 repeats page 1: the run ends there, however the pages arrive; all of them are landed."""
+    pages, root = json_pages(spark, (1, 0), (1, 1), (3, 2), (4, 3)), str(tmp_path / "tables")
+    for k in range(1, 5):
+        pages.where(F.col("page") == k).coalesce(1).write.mode("append").parquet(str(tmp_path / "incoming"))
+    stream = P.stream_raw_pages(spark, str(tmp_path / "incoming"), files_per_batch=files)
+    stream_ingest(stream, root, str(tmp_path / "checkpoint"), clock=lambda b: RUN, compact_every=2).awaitTermination()
+    assert table(spark, root).count() == 1
+    assert table(spark, root, "raw_pages").count() == 4
+    assert {r.page: r.processed for r in table(spark, root, "page_runs").collect()} == {1: True, 2: True, 3: False, 4: False}
+
+
+def test_runs_of_two_days_offered_together(spark, root):
+    """The second day ends at its first page; that does not cut the first day short."""
+    first = json_pages(spark, (1, 0), (2, 1), (3, 2))
+    second = json_pages(spark, (1, 24 * 60), (9, 24 * 60 + 1))
+    result = jobs.run_ingest(spark, root, first.unionByName(second), 0, RUN)
+    assert counts(result) == (3, 1, 0)
+    assert table(spark, root, "raw_pages").count() == 5
+    assert result.pages.count() == 4
+
+
+def test_what_lies_behind_a_stop_is_unknown_to_later_runs(spark, root):
+    """Listing 5 stands behind the end of the first two runs, so the third run finds it new and goes on to listing 6."""
+    runs = [json_pages(spark, (1, 0), (1, 1), (5, 2), run="a"), json_pages(spark, (2, 60), (1, 61), (5, 62), run="b"), json_pages(spark, (5, 120), (6, 121), run="c")]
+    result = jobs.run_ingest(spark, root, runs[0].unionByName(runs[1]).unionByName(runs[2]), 0, RUN)
+    assert counts(result) == (4, 2, 0)
+    assert sorted((r.run_id, r.page) for r in result.pages.collect()) == [("a", 1), ("a", 2), ("b", 1), ("b", 2), ("c", 1), ("c", 2)]
+
+
+def test_pages_of_a_run_arrive_by_number(spark, root):
+    """Captured in reverse; page 3 is a copy of page 1."""
+    result = jobs.run_ingest(spark, root, json_pages(spark, (1, 3), (2, 2), (1, 1)), 0, RUN)
+    assert counts(result) == (2, 1, 0)
+
+
+def test_an_unfinished_base_is_not_taken_for_the_table(spark, root):
+    jobs.run_ingest(spark, root, html_raw(spark, html_cards(5)), 0, RUN)
+    spark.createDataFrame([], T.POSTING_ROW).write.parquet(f"{root}/postings_base/upto=0/_temporary/0")
+    assert table(spark, root).count() == 5
+    assert counts(jobs.run_ingest(spark, root, html_raw(spark, html_cards(5)), 1, RUN)) == (0, 5, 0)
+    T.compact_postings(spark, root, 0)
+    T.compact_postings(spark, root, 1)
+    assert T.committed_bases(spark, root) == [(0, "upto=0-1"), (1, "upto=1")]
+    assert table(spark, root).count() == 5
+
+
+def test_failures_leave_a_trace(spark, root):
+    """A page of an unknown source, one without content, one that is no JSON; then an extractor that fails."""
+    pages = raw_pages(spark, [("Other", 1, "{}"), (HTML_SOURCE, 1, None), (JSON_SOURCE, 1, "not json")])
+    result = jobs.run_ingest(spark, root, pages, 0, RUN)
+    assert counts(result) == (0, 0, 1)
+    assert [r.source for r in table(spark, root, "quarantined_pages").collect()] == ["Other"]
+    assert sorted((r.source, r.status) for r in jobs.run_history(spark, root).collect()) == [(HTML_SOURCE, "failed"), (JSON_SOURCE, "succeeded")]
+
+    def broken(_):
+        raise RuntimeError("broken")
+
+    specs = {HTML_SOURCE: S.SourceSpec(HTML_SOURCE, "", "html", broken)}
+    with pytest.raises(RuntimeError):
+        jobs.run_ingest(spark, root, html_raw(spark, html_cards(2)), 1, "2020-04-02 03:00:00", specs=specs)
+    assert table(spark, root, "raw_pages").where("batch_id = 1").count() == 1
+    assert jobs.run_history(spark, root).where("status = 'running'").count() == 1
+
+
+def test_arguments_are_checked(spark, root):
+    pages = html_raw(spark, html_cards(1))
+    with pytest.raises(ValueError, match="Typo"):
+        jobs.run_ingest(spark, root, pages, 0, RUN, sources=["Typo"])
+    with pytest.raises(ValueError, match="Typo"):
+        jobs.run_replay(spark, root, "Typo", 0, RUN)
+    with pytest.raises(ValueError, match="detail_pages"):
+        jobs.run_ingest(spark, root, pages, 0, RUN, with_details=True)
+    with pytest.raises(ValueError, match="gap_days"):
+        jobs.run_ingest(spark, root, pages, 0, RUN, gap_days=0)
+
+
+def test_details_of_the_sources_of_the_run(spark, root):
+    none = spark.createDataFrame([], "url string, html string")
+    jobs.run_ingest(spark, root, json_raw(spark, json_page([hit(1), hit(2)])), 0, RUN)
+    jobs.run_ingest(spark, root, html_raw(spark, html_cards(3)), 1, RUN, sources=[HTML_SOURCE], with_details=True, detail_pages=none)
+    assert table(spark, root, "posting_details").count() == 3
+
+
+def test_a_copy_works_on_like_the_original(spark, root):
+    for batch, start in enumerate((0, 1)):
+        jobs.run_ingest(spark, root, html_raw(spark, html_cards(3, start=start)).unionByName(json_raw(spark, json_page([hit(batch)]))), batch, RUN)
+    T.export_snapshot(spark, root, f"{root}-dump", "2020-04-09")
+    T.load_snapshot(spark, f"{root}-dump", "2020-04-09", f"{root}-copy")
+    after = [counts(jobs.run_ingest(spark, r, html_raw(spark, html_cards(5)), 2, "2020-04-03 03:00:00")) for r in (root, f"{root}-copy")]
+    assert after[0] == after[1] == (1, 4, 0)
+    for name in ("postings", "posting_dates", "raw_pages", "run_page_events", "page_runs", "run_stops", "extract_errors"):
+        rows = [sorted(map(str, table(spark, r, name).drop("end_time", "modified_at").collect())) for r in (root, f"{root}-copy")]
+        assert rows[0] == rows[1], name
+    with pytest.raises(Exception):
+        T.load_snapshot(spark, f"{root}-dump", "2020-04-09", f"{root}-copy")
+
+
 def test_compaction_and_snapshot(spark, root):
     for batch, start in enumerate((0, 1, 2)):
         jobs.run_ingest(spark, root, html_raw(spark, html_cards(3, start=start)), batch, datetime(2020, 4, 1 + batch))
