@@ -13,8 +13,8 @@ at its start to state j at its end. Matrices combine under (max, +), which is as
 combined level by level, and the best states are handed down the same levels, so no task holds more
 than FAN matrices of a document. Each chunk is then backtraced alone, between its two states.
 
-Where no piece runs across a gap "character | space sign", the paths on both sides are independent; such
-words are solved once and remembered.
+Where no piece holds the two characters around a gap side by side, none runs across it, and the paths on
+both sides are independent; the words between such gaps are solved once and remembered.
 
 Defined cases: null and empty texts have no tokens and decode to the empty text. Decoding gives
 the encoded text back exactly, unless it holds U+2581 (the space sign itself, decoded as a space). Each
@@ -24,11 +24,11 @@ input row gives one output row, repeated ids included; extra columns are ignored
 from __future__ import annotations
 
 import hashlib
-import re
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,8 @@ from relist.session import materialize
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK, FAN = 1 << 15, 64
 SPACE = "▁"
-REMEMBERED = 400_000
+#: Solved words, and pairs of pieces, that a Python worker remembers.
+REMEMBERED = 1_000_000
 
 _NONE = float("-inf")
 
@@ -49,13 +50,40 @@ class Vocabulary:
         self.pieces, self.scores, self.byte_ids, self.unknown, self.merges = pieces, scores, byte_ids, unknown, merges
         self.ids = {p: i for i, p in enumerate(pieces) if i not in fixed}
         self.longest = max(map(len, self.ids), default=1)
-        #: No piece holds a space sign after another character.
-        self.word_gaps = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        #: Which characters stand side by side in a piece, by number of the left and of the right one.
+        chars = sorted({c for p in self.ids if len(p) > 1 for c in p})
+        self.numbers = np.zeros(0x110000, np.uint16)
+        self.numbers[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.beside = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for p in self.ids:
+            at = [self.numbers[ord(c)] for c in p]
+            self.beside[at[:-1], at[1:]] = True
         self.least = min((scores[i] for i in self.ids.values()), default=0.0) - 10
-        #: Every beginning of a piece, and whether it is itself a piece that can stand in a path.
-        self.beginnings = {p[:k]: False for p in self.ids for k in range(1, len(p))}
-        self.beginnings |= {p: not merges or self.merged(p) == [p] for p in self.ids}
-        self._joints: dict[tuple[str, str], bool] = {}
+        self.flat = self.beside.astype(np.int8).ravel()
+        #: The two parts whose merge makes a piece, for pieces that merging makes.
+        self.halves: dict[str, tuple[str, str]] = {}
+        for p in self.ids if merges else ():
+            steps: list[tuple[str, str]] = []
+            if len(p) > 1 and self.merged(p, steps) == [p]:
+                self.halves[p] = steps[-1]
+        score = lambda p: self.scores[self.ids[p]] if p in self.ids and len(p) > 1 else 0.0
+        #: Merges come in falling order of their scores, as they do in a trained vocabulary.
+        self.falling = all(score(p) <= min(score(a), score(b)) for p, (a, b) in self.halves.items())
+        #: Every beginning of a piece: 0, or its id + 1 if it is itself a piece that can stand in a path.
+        self.beginnings = {p[:k]: 0 for p in self.ids for k in range(1, len(p))}
+        self.beginnings |= {p: i + 1 if not merges or len(p) == 1 or p in self.halves else 0 for p, i in self.ids.items()}
+        #: The same as a tree: by character, (id + 1 or 0, what may follow).
+        self.tree: dict = {}
+        for p in sorted(self.beginnings, key=len):
+            at = self.tree
+            for c in p[:-1]:
+                at = at[c][1]
+            at[p[-1]] = (self.beginnings[p], {})
+        self.singles = {c for c in self.ids if len(c) == 1}
+        #: Per piece, which pieces may follow it; the ends of pieces while they are merged; solved words.
+        self._joints: dict[int, dict[int, bool]] = {}
+        self.counted = 0
+        self._edges: tuple[dict, dict] = ({}, {})
         self.words: dict[str, bytes] = {}
 
     @classmethod
@@ -71,9 +99,9 @@ class Vocabulary:
         return cls([model.id_to_piece(i) for i in range(n)], [model.get_score(i) for i in range(n)], fixed, byte_ids, model.unk_id(), merges)
 
     def __getstate__(self):
-        return self.__dict__ | {"_joints": {}, "words": {}}
+        return self.__dict__ | {"_joints": {}, "counted": 0, "_edges": ({}, {}), "words": {}}
 
-    def merged(self, text: str) -> list[str]:
+    def merged(self, text: str, steps: list | None = None) -> list[str]:
         """The pieces that merging leaves: the pair of the highest score first, the leftmost of equal ones."""
         parts = list(text)
         while True:
@@ -84,11 +112,13 @@ class Vocabulary:
                     best, at = self.scores[i], k
             if at < 0:
                 return parts
+            if steps is not None:
+                steps.append((parts[at], parts[at + 1]))
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def is_edge(self, piece: str) -> bool:
         """Whether a piece can stand in a path."""
-        return len(piece) == 1 or self.beginnings.get(piece, False)
+        return len(piece) == 1 or self.beginnings.get(piece, 0) > 0
 
     def weight(self, piece: str) -> float:
         if self.merges:
@@ -97,16 +127,47 @@ class Vocabulary:
         return self.least if i is None else self.scores[i]
 
     def joins(self, left: str, right: str) -> bool:
+        """Whether two pieces stay apart when their text is merged."""
         if not self.merges:
             return True
-        pair = (left, right)
-        known = self._joints.get(pair)
+        if self.falling and left in self.beginnings and right in self.beginnings:
+            return self._stay_apart(left, right)
+        return self.merged(left + right) == [left, right]
+
+    def _edge(self, piece: str, side: int) -> list[tuple[str, float]]:
+        """What stands at the right (1) or left (0) end of a piece while it is merged, and the score that ends it."""
+        known = self._edges[side].get(piece)
         if known is None:
-            if len(self._joints) >= REMEMBERED:
-                self._joints.clear()
-            known = self._joints[pair] = self.merged(left + right) == [left, right]
+            known, end, score = [], piece, _NONE
+            while True:
+                known.append((end, score))
+                if end not in self.halves:
+                    break
+                end, score = self.halves[end][side], self.scores[self.ids[end]]
+            known.reverse()
+            self._edges[side][piece] = known
         return known
 
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Follow both sides of the gap through their merges: does a merge across it ever come first?
+
+        Of equal scores the leftmost merge comes first: within `left`, then across, then within `right`.
+        """
+        ends, starts = self._edge(left, 1), self._edge(right, 0)
+        i = j = 0
+        while True:
+            (a, next_left), (b, next_right) = ends[i], starts[j]
+            across = self.ids.get(a + b)
+            if across is not None and self.scores[across] > next_left and self.scores[across] >= next_right:
+                return False
+            if next_left == next_right == _NONE:
+                return True
+            if next_left >= next_right:
+                i += 1
+            else:
+                j += 1
+
+
     def ids_of(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
         if i is not None:
@@ -166,53 +227,68 @@ class Vocabulary:
         return [i for p in reversed(out) for i in self.ids_of(p)]
 
     def word(self, text: str) -> bytes:
-        """Ids of an independent word, as little-endian 32-bit numbers."""
-        known = self.words.get(text)
-        if known is None:
-            if self.merges:
-                ids = self._only_path(text)
-            else:
-                at = self.forward(text, [(0, 0)], len(text))[len(text)]
-                last = max(at, key=lambda a: at[a][0][0])
-                ids = self.path(text, (0, 0), len(text), (last, len(text)))
-            known = np.array(ids, "<i4").tobytes()
-            if len(text) <= 64 and len(self.words) < REMEMBERED:
-                self.words[text] = known
-        return known
+        """Ids of an independent word, as 32-bit numbers."""
+        if len(text) == 1:
+            ids = self.ids_of(text)
+        elif self.merges and self.singles.issuperset(text):
+            ids = self._only_path(text)
+        else:
+            at = self.forward(text, [(0, 0)], len(text))[len(text)]
+            last = max(at, key=lambda a: at[a][0][0])
+            ids = self.path(text, (0, 0), len(text), (last, len(text)))
+        out = array("i", ids).tobytes()
+        if len(text) <= 64 and len(self.words) < REMEMBERED // 2:
+            self.words[text] = out
+        return out
 
     def _only_path(self, text: str) -> list[int]:
         """`path` through a merge vocabulary from one entry: at most one piece with a finite value ends at each gap."""
-        known, joints, n = self.beginnings, self._joints, len(text)
-        came = [-1] * (n + 1)
+        if self.counted > REMEMBERED:
+            self.counted = 0
+            self._joints.clear()
+        n, rows = len(text), self._joints
+        came, ids = [-1] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            if i and came[i] < 0:
-                continue
-            left = text[came[i]:i] if i else None
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                piece = text[i:j]
-                edge = known.get(piece)
-                if came[j] < 0 and (edge or j == i + 1):
-                    joined = left is None or joints.get((left, piece))
-                    if joined is None:
-                        joined = self.joins(left, piece)
-                    if joined:
-                        came[j] = i
-                if edge is None:
+            if i:
+                if came[i] < 0:
+                    continue
+                row = rows.get(ids[i])
+                if row is None:
+                    row = rows[ids[i]] = {}
+            after, j = self.tree, i
+            for c in text[i:]:
+                node = after.get(c)
+                if node is None:
                     break
+                piece, after = node
+                j += 1
+                if piece and came[j] < 0:
+                    if i:
+                        joined = row.get(piece)
+                        if joined is None:
+                            joined = row[piece] = self.joins(text[came[i]:i], text[i:j])
+                            self.counted += 1
+                        if not joined:
+                            continue
+                    came[j], ids[j] = i, piece
         out, e = [], n
         while e:
-            out.append(text[came[e]:e])
+            out.append(ids[e] - 1)
             e = came[e]
-        return [i for p in reversed(out) for i in self.ids_of(p)]
+        out.reverse()
+        return out
+
+    def gaps(self, text: str) -> np.ndarray:
+        """Where no piece runs across, apart from the ends."""
+        at = self.numbers[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int32)
+        return np.flatnonzero(self.flat[at[:-1] * len(self.beside) + at[1:]] == 0) + 1
 
     def whole(self, text: str) -> bytes:
         """Ids of a text that starts and ends at independent gaps."""
-        known, word = self.words, self.word
-        words = _WORDS.findall(text) if self.word_gaps else [text] if text else []
-        return b"".join([known.get(w) or word(w) for w in words])
-
-
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        if not text:
+            return b""
+        cuts, known, word = self.gaps(text).tolist(), self.words, self.word
+        return b"".join([known.get(w) or word(w) for w in [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]])
 
 
 def states(vocabulary: Vocabulary, text: str, cut: int) -> list[tuple[int, int]]:
@@ -230,8 +306,8 @@ class Chunk:
         self.entries = states(vocabulary, self.text, self.start) if left else [(0, 0)]
         self.exits = states(vocabulary, self.text, self.stop) if right else None
         #: The first and the last independent gap within the chunk.
-        gaps = [m.start() + 1 for m in re.finditer(f"[^{SPACE}]{SPACE}", body)] if vocabulary.word_gaps else []
-        self.first, self.last = (self.start + gaps[0], self.start + gaps[-1]) if gaps else (None, None)
+        gaps = vocabulary.gaps(body)
+        self.first, self.last = (self.start + int(gaps[0]), self.start + int(gaps[-1])) if len(gaps) else (None, None)
 
     def _leave(self, at: list) -> list[list[float]]:
         """Values of the exits, one list for each exit."""
@@ -313,13 +389,27 @@ def prepare(text: str) -> str:
 _IDS, _MATRIX = pa.list_(pa.int32()), pa.list_(pa.list_(pa.float64()))
 
 
-def _id_lists(parts: list[bytes]) -> pa.Array:
-    offsets = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+def _id_lists(parts: Iterable[bytes]) -> pa.Array:
+    """Lists of ids from their bytes, row by row."""
+    flat, offsets = bytearray(), array("i", [0])
+    for p in parts:
+        flat += p
+        offsets.append(len(flat) // 4)
+    values = pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)])
+    return pa.ListArray.from_arrays(pa.Array.from_buffers(pa.int32(), len(offsets), [None, pa.py_buffer(offsets)]), values)
+
+
+def _text_column(texts: Iterable[bytes]) -> pa.Array:
+    """Strings from their UTF-8, row by row."""
+    flat, offsets = bytearray(), array("q", [0])
+    for t in texts:
+        flat += t
+        offsets.append(len(flat))
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(flat)).cast(pa.string())
 
 
-def _strings(column: pa.Array) -> list[str]:
-    return pc.fill_null(column, "").to_pylist()
+def _strings(column: pa.Array) -> Iterator[str]:
+    return (x.as_py() or "" for x in column)
 
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
@@ -329,7 +419,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
     def whole(texts: pa.Array) -> pa.Array:
-        return _id_lists([sent.value.whole(prepare(t)) for t in _strings(texts)])
+        return _id_lists(sent.value.whole(prepare(t)) for t in _strings(texts))
 
     short = rows.where(F.length("text") <= chunk).select("doc_id", F.arrow_udf(whole, "array<int>").asNondeterministic()("text").alias("ids"))
     return short.union(_encode_long(rows.where(F.length("text") > chunk), sent, chunk))
@@ -343,7 +433,7 @@ def _encode_long(rows: DataFrame, sent, chunk: int) -> DataFrame:
 
     def backtrace(left: pa.Array, body: pa.Array, right: pa.Array, entry: pa.Array, exit: pa.Array) -> pa.Array:
         texts = zip(_strings(left), _strings(body), _strings(right), entry.to_pylist(), exit.to_pylist())
-        return _id_lists([Chunk(sent.value, a, b, c).ids(i, j) for a, b, c, i, j in texts])
+        return _id_lists(Chunk(sent.value, a, b, c).ids(i, j) for a, b, c, i, j in texts)
 
     seen = F.concat(F.lit(SPACE), F.replace("text", F.lit(" "), F.lit(SPACE)))
     cut = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", seen.alias("seen"))
@@ -414,6 +504,6 @@ def decode(ids: Column, model: str = MODEL) -> Column:
 
     def read(lists: pa.Array) -> pa.Array:
         texts = (b"".join([table[i] for i in x.tolist()]) for x in _parts(lists))
-        return pa.array([(t[1:] if t[:1] == b" " else t).decode(errors="replace") for t in texts], pa.string())
+        return _text_column((t[1:] if t[:1] == b" " else t).decode(errors="replace").encode() for t in texts)
 
     return F.arrow_udf(read, "string").asNondeterministic()(ids)
