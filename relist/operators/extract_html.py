@@ -134,10 +134,8 @@ def html_card_fields(cards: DataFrame, base_url: str = S.BASE_URLS[S.HTML_SOURCE
 
 
 def extract_html_pages(raw_pages: DataFrame) -> DataFrame:
-    """Posting fields of all cards of a page table.
+    """Posting fields of all cards of a page table, where the pages are: their texts are not moved.
 
-    Reading tags costs far more than moving the text once, and a file of compressed pages is
-    one scan task, so pages are first spread evenly by their id; the adaptive rebalance
-    picks the number of tasks from the measured size.
+    Landing spreads them over files, see sinks.tables.write_batch.
     """
-    return html_card_fields(explode_html_cards(raw_pages.hint("rebalance", "raw_page_id")))
+    return html_card_fields(explode_html_cards(raw_pages))

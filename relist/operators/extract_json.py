@@ -11,6 +11,8 @@ from relist.functions.dates import epoch_s_to_ts
 from relist.functions.json import is_single, json_list, json_long, json_path, json_string, json_string_set
 from relist.functions.strings import build_url, trim_java
 
+# Keys of a listing.
+HIT_KEYS = ("alias", "jobTitle", "skills", "onlineDate", "company", "locations", "jobId")
 PAGE_COLUMNS = ["raw_page_id", "source", "page", "captured_at"]
 
 
@@ -46,15 +48,17 @@ def _invalid_message():
 def json_hit_fields(items: DataFrame, base_url: str = S.BASE_URLS[S.JSON_SOURCE]) -> DataFrame:
     """Posting fields of each listing, strictly typed: a value of another type is missing."""
     hit = F.col("hit")
-    job_id = json_long(hit, "$.jobId").cast("string")
-    return items.select(
+    # Each key is looked up once; its type and value are read from what was found.
+    found = items.select(*PAGE_COLUMNS, "ordinal", "hit", *[json_path(hit, f"$.{k}").alias(f"_{k}") for k in HIT_KEYS])
+    alias, title, skills, online, company, places, job = (F.col(f"_{k}") for k in HIT_KEYS)
+    return found.select(
         *PAGE_COLUMNS, "ordinal",
-        build_url(base_url, "/", trim_java(json_string(hit, "$.alias")), "-", job_id, "-jv").alias("url"),
-        trim_java(json_string(hit, "$.jobTitle")).alias("title"),
-        map_trim_set(json_string_set(hit, "$.skills")).alias("tags"),
-        epoch_s_to_ts(json_long(hit, "$.onlineDate")).alias("posting_date"),
-        trim_java(json_string(hit, "$.company")).alias("company"),
-        map_trim_set(json_string_set(hit, "$.locations")).alias("locations"),
+        build_url(base_url, "/", trim_java(json_string(alias, "$")), "-", json_long(job, "$").cast("string"), "-jv").alias("url"),
+        trim_java(json_string(title, "$")).alias("title"),
+        map_trim_set(json_string_set(skills, "$")).alias("tags"),
+        epoch_s_to_ts(json_long(online, "$")).alias("posting_date"),
+        trim_java(json_string(company, "$")).alias("company"),
+        map_trim_set(json_string_set(places, "$")).alias("locations"),
         F.coalesce(json_fragment(hit), F.lit("")).alias("raw_fragment"),
         F.when(hit.isNull(), _invalid_message()).alias("page_error"),
     )

@@ -83,9 +83,10 @@ SELECT page_id, array_to_string([replace(x, '&amp;', '&') FOR x IN regexp_extrac
        regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, '' AS missing FROM pages""")
 def html_attr(spark, sf):
     rows = _page_html(spark, sf).select(
-        "page_id", H.html_select_all(F.col("content"), "li a", "@href").alias("hrefs"),
-        H.html_rows(F.col("content"), "html", [H.HtmlField("lang", None, "@lang"), H.HtmlField("missing", None, "@dir")]).alias("page"))
-    return flat(rows.select("page_id", "hrefs", F.col("page")[0]["lang"].alias("lang"), F.col("page")[0]["missing"].alias("missing")))
+        "page_id", F.get(H.html_rows(F.col("content"), "html", [
+            H.HtmlField("hrefs", "li a", "@href", every=True), H.HtmlField("lang", None, "@lang"), H.HtmlField("missing", None, "@dir")]), F.lit(0)).alias("page"))
+    none = F.array().cast("array<string>")
+    return flat(rows.select("page_id", F.coalesce("page.hrefs", none).alias("hrefs"), "page.lang", "page.missing"))
 
 
 @query("html_text", f"""
@@ -190,9 +191,9 @@ def extractor_registry(spark, sf):
 
 @query("source_spec", """
 SELECT 'event ' || event_type AS source, 'https://' || event_type || '.example.com/' || CAST(json_extract(props, '$.k') AS BIGINT) AS url,
-       event_id + 1 AS page FROM events WHERE event_type IN ('click', 'view')""")
+       event_id + 1 AS page FROM events""")
 def source_spec(spark, sf):
-    """Two sources of one's own, each with its base address and extractor."""
+    """Sources of one's own, one for each type of event, each with its base address and extractor."""
     def spec(name: str) -> S.SourceSpec:
         base = f"https://{name}.example.com"
 
@@ -203,8 +204,9 @@ def source_spec(spark, sf):
                                   .alias(f.name) for f in S.EXTRACTED.fields])
         return S.SourceSpec(f"event {name}", base, "json", extract)
 
-    specs = {s.name: s for s in (spec("click"), spec("view"))}
-    pages = table(spark, sf, "events").where(F.col("event_type").isin("click", "view")).select(
+    kinds = [r.event_type for r in table(spark, sf, "events").select("event_type").distinct().collect()]
+    specs = {s.name: s for s in map(spec, sorted(kinds))}
+    pages = table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("raw_page_id"), (F.col("event_id") + 1).cast("int").alias("page"),
         F.concat(F.lit("event "), "event_type").alias("source"), F.col("props").alias("content"),
         F.col("ts").cast("timestamp").alias("captured_at"))

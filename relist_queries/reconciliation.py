@@ -11,6 +11,7 @@ from relist.operators import frontier as Fr
 from relist.operators import publish as P
 from relist.operators import reconcile as R
 from relist.plans.jobs import changed_postings
+from relist.session import materialize
 from relist_queries.base import query, table
 from relist_queries.frames import (
     LINEITEM_SIGHTINGS, ORDER_POSTINGS, ORDER_SIGHTINGS, STORED_AND_BATCH, flat, lineitem_sightings, order_postings,
@@ -297,7 +298,7 @@ UNION ALL
 SELECT 'kept ' || o_custkey, '{{}}', 'Customer', 0, 'c', 'stored', 'p', epoch_ms(TIMESTAMP '2019-01-01') FROM orders GROUP BY o_custkey""")
 def upsert_postings(spark, sf):
     """The table after a save: untouched rows stay, touched postings get their new version."""
-    tagged = E.posting_episodes(order_sightings(spark, sf))
+    tagged = materialize(E.posting_episodes(order_sightings(spark, sf)), "tagged")
     kept = table(spark, sf, "orders").groupBy("o_custkey").agg(F.lit(1).alias("x")).select(
         F.concat(F.lit("kept "), F.col("o_custkey").cast("string")).alias("posting_id"), F.lit("{}").alias("url"),
         F.lit("Customer").alias("title"), F.lit("1970-01-01").cast("timestamp_ntz").alias("posting_date"), F.lit("c").alias("company"),
