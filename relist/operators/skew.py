@@ -21,11 +21,9 @@ KEY_LIMIT = 200_000
 
 def larger_keys(rows: DataFrame, keys: Sequence[str], limit: int = KEY_LIMIT, stage: str | None = None) -> DataFrame | None:
     """Keys with more rows than the limit, at most total / limit of them; None without any."""
-    if rows.count() <= limit:
-        return None
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    large = materialize(counts.where(F.col("n") > limit).select(*keys), "large-keys", stage)
-    return None if large.isEmpty() else large
+    large = counts.where(F.col("n") > limit).select(*keys)
+    return None if large.isEmpty() else materialize(large, "large-keys", stage)
 
 
 def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
