@@ -131,16 +131,3 @@ def run_page_status(spark, sf):
     ids = pages.select("raw_page_id", *[none.alias(c) for c in ("new_ids", "existing_ids", "error_ids")])
     closed = A.close_run_page(pages.where(F.col("o_orderstatus") != "O"), ids, "2024-03-01 03:00:00", "2024-03-01 03:00:12")
     return A.run_page_status(A.run_page_view(opened.unionByName(closed))).select("run_page_id", "status")
-
-
-@query("page_failure_isolation", """
-SELECT o_orderpriority AS source, count(*) FILTER (o_orderstatus = 'P') AS n_failed, count(*) FILTER (o_orderstatus <> 'P') AS n_succeeded
-FROM orders GROUP BY o_orderpriority""")
-def page_failure_isolation(spark, sf):
-    """Pages that failed to load fail alone; the others of their source close as usual."""
-    pages = _history_pages(spark, sf)
-    none = F.array().cast("array<string>")
-    ids = pages.select("raw_page_id", *[none.alias(c) for c in ("new_ids", "existing_ids", "error_ids")])
-    closed = A.run_page_status(A.close_run_page(pages, ids, "2024-03-01 03:00:00", "2024-03-01 03:00:12"))
-    return closed.groupBy("source").agg(
-        F.count_if(F.col("status") == "failed").alias("n_failed"), F.count_if(F.col("status") == "succeeded").alias("n_succeeded"))
