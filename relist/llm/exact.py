@@ -76,7 +76,11 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ch
     """
     made = recipes(docs, doc_id, text, chunk_hash).withColumn("ordinals", F.coalesce("ordinals", F.array().cast("array<struct<pos:int,ordinal:string>>")))
     groups = made.groupBy("recipe", "ordinals").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return made.join(groups, ["recipe", "ordinals"]).select(
+    # Only groups with copies, written out: the join has a plain exchange on both sides and a hot group is split.
+    copied = materialize(groups.where("group_size > 1"), "groups")
+    size = F.coalesce("group_size", F.lit(1).cast("long"))
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    return made.join(copied, ["recipe", "ordinals"], "left").withColumns({"keep_id": keep, "group_size": size}).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", F.size("recipe").cast("long").alias("n_chunks"))
 
 
