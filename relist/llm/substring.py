@@ -155,7 +155,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """(row, text) -> (row, spans): the runs of words (start, end) that repeats cover; they may overlap."""
     anchors = materialize(rows.mapInArrow(_anchor_rows, "gram bigint, around bigint, row bigint, pos int"), "anchors")
     kinds = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("around").alias("low"), F.max("around").alias("high"))
-    shared = kinds.where("times > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
+    # Written out, so that the join has a plain exchange on both sides and a hot gram is split.
+    shared = materialize(kinds.where("times > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed")), "shared-grams")
     seeds = materialize(anchors.join(shared, "gram"), "seeds")
     mixed = seeds.where("mixed").groupBy("gram", "around").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "pos")).alias("one"))
     mixed = materialize(mixed, "mixed-seeds")
@@ -164,7 +165,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     covered = covered.select("row", F.greatest(F.col("pos") - SIDE, F.lit(0)).alias("start"), (F.col("pos") + GRAM + SIDE).alias("end"))
     wanted = mixed.select("one.row", "one.pos").groupBy("row").agg(F.collect_list("pos").alias("wanted"))
     listed = materialize(rows.join(wanted, "row").select("row", "text", "wanted").mapInArrow(_window_rows, "h1 bigint, h2 bigint, row bigint, pos int"), "windows")
-    repeated = listed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2")
+    repeated = materialize(listed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2"), "repeated-windows")
     found = listed.join(repeated, ["h1", "h2"], "left_semi").select("row", F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("end"))
     return covered.union(found).groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
