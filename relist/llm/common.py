@@ -46,6 +46,16 @@ def pieces(text: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
     yield text[start:] if start else text
 
 
+def cut(text: bytes, start: int, size: int = SLICE_BYTES) -> int:
+    """The end of a part of `text` from `start`: behind its last line within `size` bytes, or between words of a longer line."""
+    if len(text) - start <= size:
+        return len(text)
+    if end := text.rfind(b"\n", start, start + size) + 1:
+        return end
+    gap = _SPACE.search(text, start + size)
+    return len(text) if not gap else gap.end() if gap[0] == b"\n" else gap.start()
+
+
 def texts_of(texts: pa.Array, start: int, end: int) -> list[bytes]:
     """The UTF-8 bytes of rows start to end; null counts as empty."""
     part = pc.fill_null(texts.slice(start, end - start).cast(pa.large_binary()), b"")

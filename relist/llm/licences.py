@@ -12,9 +12,9 @@ the notice's SHINGLE-word shingles (a shorter notice is one shingle).
 The bound of the sample is a parameter (`lines`); lines are chosen by a hash of the text.
 
 Defined cases: null, empty and word-less texts have no paragraph and no find. A family found in several windows of a paragraph is
-reported once, confirmed if any is; finds are in text order, then by family. Lines of over a million bytes are read in parts
-of that size. Repeated rows each get a result. Extra columns are returned unchanged, except that a column
-named like the result is replaced.
+reported once, confirmed if any is; finds are in text order, then by family. Texts of over a million bytes are read in parts
+of whole lines; a longer line is read in parts that carry their last words on, so that its windows are those of the whole line.
+Repeated rows each get a result. Extra columns are returned unchanged, except that a column named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import clean, gram_hashes, pieces, powers, texts_of, words_of
+from relist.llm.common import SLICE_BYTES, clean, cut, gram_hashes, powers, texts_of, words_of
 
 #: Notices by which public licences ask to be named, by family.
 NOTICES = {
@@ -170,10 +170,14 @@ def confirmed(text: bytes) -> set[str]:
     return out
 
 
-def scan(text: bytes, model: Model) -> tuple[int, list[dict]]:
-    """(number of paragraphs, finds) of one text."""
-    paragraphs, found, unknown = 0, {}, len(FAMILIES)
-    for part in pieces(text):
+def scan(text: bytes, model: Model, size: int = SLICE_BYTES) -> tuple[int, list[dict]]:
+    """(number of paragraphs, finds) of one text, read in parts of about `size` bytes."""
+    paragraphs, found, unknown, at, carried, seen = 0, {}, len(FAMILIES), 0, b"", 0
+    while at < len(text):
+        to = cut(text, at, size)
+        part, at = carried + text[at:to], to
+        # Only a line that is longer than a part goes on behind it; it is alone in that part.
+        goes_on, done, carried, seen = at < len(text) and text[at - 1] != 10, seen, b"", 0
         joined, words, (starts, ends, _) = words_of([clean(part)], powers(0))
         if not len(words):
             continue
@@ -182,6 +186,11 @@ def scan(text: bytes, model: Model) -> tuple[int, list[dict]]:
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         sizes = np.diff(np.concatenate([first, [len(words)]]))
         counts = np.maximum(1, -(-(sizes - STEP) // STEP))
+        if goes_on:
+            # Windows whose surroundings are all here; the last of them and what is behind it are carried on.
+            counts = np.maximum(0, (sizes - SPAN) // STEP)
+            seen = min(1, int(counts[0]))
+            carried = b" ".join([*joined[starts[STEP * (int(counts[0]) - seen)]:].split(), b""])
         line = np.repeat(np.arange(len(first)), counts)
         nth = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)
         start = first[line] + STEP * nth
@@ -193,7 +202,7 @@ def scan(text: bytes, model: Model) -> tuple[int, list[dict]]:
         # A window is a find if unknown is less likely than not; the exact sum is only needed where it is not the best.
         for k in np.flatnonzero(logits[:, :unknown].max(axis=1) > logits[:, unknown] - 3 * model.temperature):
             p = model.probabilities(logits[k:k + 1])[0]
-            if p[unknown] >= 0.5:
+            if p[unknown] >= 0.5 or k < done:
                 continue
             low, high = max(first[line[k]], start[k] - STEP), min(first[line[k]] + sizes[line[k]], end[k] + STEP)
             family = FAMILIES[int(p[:unknown].argmax())]
@@ -201,7 +210,7 @@ def scan(text: bytes, model: Model) -> tuple[int, list[dict]]:
             key = (paragraphs + int(line[k]), family)
             before = found.get(key, (False, 0.0))
             found[key] = (sure or before[0], max(before[1], float(1 - p[unknown])))
-        paragraphs += len(first)
+        paragraphs += len(first) - goes_on
     return paragraphs, [{"paragraph": k, "family": f, "confirmed": c, "probability": p} for (k, f), (c, p) in sorted(found.items())]
 
 

@@ -138,6 +138,33 @@ def test_licences_of_odd_rows(spark, odd_docs, no_docs):
     assert licences.with_licences(no_docs, licences.train(no_docs)).count() == 0
 
 
+def test_licences_of_a_long_text_in_parts():
+    """Parts of any size give what the whole text gives, also where a notice or a line goes over a cut."""
+    rng = random.Random(2)
+    words = ["alpha", "beta", "gamma", "delta", "--", "eps"]
+    def filler(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+    model = licences.fit([filler(30).encode() for _ in range(60)])
+    notice = licences.NOTICES["apache-2.0"][1].encode()
+    for cut in ((1 << 20) - 60, (1 << 20) - 90):
+        for end in (b" ", b"\n"):
+            text = b"alpha beta gamma delta " * (cut // 23 + 1)
+            n, found = licences.scan(text[:cut - 3] + end + notice + b" " + text[:2300] + b"\nbeta", model)
+            assert n == 2 + (end == b"\n") and [(f["paragraph"], f["family"], f["confirmed"]) for f in found if f["confirmed"]] == [(n - 2, "apache-2.0", True)]
+    notices = [n for ns in licences.NOTICES.values() for n in ns]
+    total = 0
+    for _ in range(12):
+        bits = [x for _ in range(rng.randint(1, 9)) for x in (filler(rng.randint(0, 150)), rng.choice(notices), filler(rng.randint(0, 60)), rng.choice([" ", "\n", " \n", "\n\n", "   ...   " * 40]))]
+        text = " ".join(bits).encode()
+        paragraphs, finds = licences.scan(text, model)
+        assert paragraphs == sum(bool(licences.clean(x).split()) for x in text.split(b"\n"))
+        total += len(finds)
+        for size in (1, 7, 100, 300, 1000, 3000):
+            n, found = licences.scan(text, model, size)
+            assert n == paragraphs and [(f["paragraph"], f["family"], f["confirmed"]) for f in found] == [(f["paragraph"], f["family"], f["confirmed"]) for f in finds]
+    assert total > 10
+
+
 @given_tables
 def test_pipeline_stage_by_stage(spark):
     """Each stage keeps exactly what its operator's own result says, with the columns of documents."""
