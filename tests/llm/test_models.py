@@ -13,6 +13,7 @@ import pytest
 
 import corpus_pipeline
 from relist.llm import langid, licences, pii, quality, queries
+from relist.llm.common import pieces
 from relist.session import materialize
 
 SF = "/root/testdata/sf0.01"
@@ -114,6 +115,19 @@ def test_features_of_a_long_text_in_parts(monkeypatch):
     assert np.abs(quality.features(text) - whole)[[k for k, n in enumerate(quality.FEATURES) if n not in ("distinct", "repeated")]].max() < 1e-9
 
 
+def test_all_features_of_a_long_text_in_parts(monkeypatch):
+    """Repetition too is that of the whole text, however its parts are cut; one word more moves it by that word."""
+    for words in ("Some words, some MORE words.\n", "junk junk 漢字 ", " again"):
+        text = (words * 300).encode()
+        whole = quality.features(text)
+        for size in (1, 40, 1000, len(text) - 3):
+            with monkeypatch.context() as m:
+                m.setattr(quality, "pieces", lambda t, n=size: pieces(t, n))
+                assert np.abs(quality.features(text) - whole).max() < 1e-9
+    long = b"junk " * ((1 << 20) // 5 + 1)
+    assert np.abs(quality.features(long + b"end") - quality.features(long)).max() < 0.05
+
+
 @given_tables
 def test_licences_of_given_rows(spark):
     """Every notice in the given texts is found, as a plain search for its words finds it."""
