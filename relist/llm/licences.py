@@ -6,8 +6,9 @@ seen. Features are hashed one- and two-word grams; a multinomial logistic regres
 probability for every family and for the unknown class. It is trained on variants of the notices
 in NOTICES (words dropped, corpus words before and behind) against a bounded sample of corpus lines, and
 calibrated by a temperature on variants and lines held out from training. A window whose probability of unknown is under one half
-names its most likely family; the name is confirmed if a notice of that family is found around the window: at least SIMILARITY of
-the notice's SHINGLE-word shingles (a shorter notice is one shingle).
+is a find: of every family of which a notice is found around the window (confirmed) and of its most likely family, confirmed or
+not. A notice is found if at least SIMILARITY of its SHINGLE-word shingles are there (a shorter notice is one shingle) and they
+are no mere part of what is found of another family's notice.
 
 The bound of the sample is a parameter (`lines`); lines are chosen by a hash of the text.
 
@@ -156,18 +157,24 @@ def _shingles(words: list[bytes]) -> set[tuple]:
 
 
 _TEMPLATES = {f: [(min(SHINGLE, len(w)), _shingles(w)) for w in (clean(n.encode()).split() for n in notices)] for f, notices in NOTICES.items()}
+_SIZES = {size for templates in _TEMPLATES.values() for size, _ in templates}
 
 
-def confirmed(text: bytes) -> set[str]:
-    """Families of which a notice is contained in the words of `text`."""
-    words, out = text.split(), set()
-    for family, templates in _TEMPLATES.items():
-        for size, shingles in templates:
-            seen = {tuple(words[k:k + size]) for k in range(len(words) - size + 1)}
-            if len(shingles & seen) >= SIMILARITY * len(shingles):
-                out.add(family)
-                break
-    return out
+def confirmed(text: bytes, chances: np.ndarray | None = None) -> set[str]:
+    """Families of which a notice is contained in the words of `text`.
+
+    Notices of two families may differ by one word: a notice of which no more is found than a part of what is found of
+    another family's does not confirm. Where the same is found of both, the one of the larger of `chances` does, if given.
+    """
+    words = text.split()
+    seen = {tuple(words[k:k + size]) for size in _SIZES for k in range(len(words) - size + 1)}
+    near = []
+    for k, family in enumerate(FAMILIES):
+        for _, shingles in _TEMPLATES[family]:
+            there = shingles & seen
+            if len(there) >= SIMILARITY * len(shingles):
+                near.append((family, there, 0.0 if chances is None else chances[k]))
+    return {f for f, there, c in near if not any(g != f and (there < more or there == more and c < d) for g, more, d in near)}
 
 
 def scan(text: bytes, model: Model, size: int = SLICE_BYTES) -> tuple[int, list[dict]]:
@@ -205,11 +212,11 @@ def scan(text: bytes, model: Model, size: int = SLICE_BYTES) -> tuple[int, list[
             if p[unknown] >= 0.5 or k < done:
                 continue
             low, high = max(first[line[k]], start[k] - STEP), min(first[line[k]] + sizes[line[k]], end[k] + STEP)
-            family = FAMILIES[int(p[:unknown].argmax())]
-            sure = family in confirmed(joined[starts[low]:ends[high - 1]])
-            key = (paragraphs + int(line[k]), family)
-            before = found.get(key, (False, 0.0))
-            found[key] = (sure or before[0], max(before[1], float(1 - p[unknown])))
+            sure = confirmed(joined[starts[low]:ends[high - 1]], p)
+            for family in sure | {FAMILIES[int(p[:unknown].argmax())]}:
+                key = (paragraphs + int(line[k]), family)
+                before = found.get(key, (False, 0.0))
+                found[key] = (family in sure or before[0], max(before[1], float(1 - p[unknown])))
         paragraphs += len(first) - goes_on
     return paragraphs, [{"paragraph": k, "family": f, "confirmed": c, "probability": p} for (k, f), (c, p) in sorted(found.items())]
 

@@ -179,6 +179,20 @@ def test_licences_of_a_long_text_in_parts():
     assert total > 10
 
 
+def test_licences_of_two_families_in_a_line():
+    model = licences.fit([b"alpha beta gamma delta epsilon"] * 20)
+    def families(text):
+        return sorted(f["family"] for f in licences.scan(text.encode(), model)[1] if f["confirmed"])
+    apache = "Licensed under the Apache License, Version 2.0."
+    assert families("Released under the MIT License. " + apache) == ["apache-2.0", "mit"] == families(apache + " Released under the MIT License.")
+    for family, notices in licences.NOTICES.items():
+        for notice in notices:
+            assert families(notice) == [family]
+    gpl = "This work is licensed under the GNU General Public License, version "
+    assert families(gpl + "2. " + gpl + "3.") == ["gpl-2.0", "gpl-3.0"]
+    assert len(families(gpl)) == 1
+
+
 @given_tables
 def test_pipeline_stage_by_stage(spark):
     """Each stage keeps exactly what its operator's own result says, with the columns of documents."""
