@@ -9,7 +9,8 @@ values different ones, and whoever holds the key can take them back. Dates are n
 written in several formats stays one day.
 
 Kinds: card, iban, ssn, phone, ip, date, email (the part before the @), secret (hexadecimal keys). Numbers that
-fail their check are left as they are.
+fail their check are left as they are; shorter forms of them and what starts at their later words are tried then. Phone numbers are
+numbered by the digits behind the country code, so one number written in several forms stays one number.
 
 Defined cases: null stays null; texts without a find are returned unchanged, byte by byte; finds
 do not overlap, the one that starts first (then the earlier kind in the list of patterns) wins. Each row has a result of
@@ -31,11 +32,22 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 _RUN = re.compile(r"[+0-9][0-9 ().\-/]{5,}[0-9]")
-_NUMBER = re.compile(
-    r"(?<![\w.+-])(?:(?P<ymd>[0-9]{4}-[0-9]{2}-[0-9]{2})|(?P<dmy>[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})|(?P<mdy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+_NUMBER_FORMS = (
+    r"(?:(?P<ymd>[0-9]{4}-[0-9]{2}-[0-9]{2})|(?P<dmy>[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})|(?P<mdy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})"
     r"|(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{0,2}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})){2,4})"
     r"|(?P<card>[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}))(?![0-9A-Za-z_])")
+_NUMBER = re.compile(r"(?<![\w.+-])" + _NUMBER_FORMS)
+#: Within a candidate that failed, a number may also stand behind a hyphen.
+_LATER_NUMBER = re.compile(r"(?<![\w.+])" + _NUMBER_FORMS)
+_TOKEN = re.compile(r"\+?[0-9]+")
+#: Country codes of one and two digits; all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+#: Lengths of the IBANs of a country. They are tried first, so that a word behind an IBAN is not read with it.
+_IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 "
+    "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 "
+    "PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
 _EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _SECRET = re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]{32})[0-9a-fA-F]{32,128}(?![0-9A-Za-z])")
@@ -144,10 +156,13 @@ def _ip(found: str, mapped: Map) -> str | None:
 
 
 def _phone(found: str, mapped: Map) -> str | None:
-    code = re.match(r"\+[0-9]{1,3}(?=[ .(-])|\+", found)[0]
+    """The digits behind the country code are permuted, and a trunk zero in brackets stays, so that all forms of a number are linked."""
+    digits = re.sub(r"\D", "", found)
+    size = next((n for n in (1, 2) if digits[:n] in _CODES), 3)
+    code = re.match(r"\+(?:[^0-9]*[0-9]){%d}(?:[ .-]?\(0\))?" % size, found)[0]
     rest = found[len(code):]
-    digits = re.sub(r"\D", "", rest)
-    return code + _refill(rest, _mixed("phone", digits, mapped)) if 7 <= len(digits) <= 14 else None
+    own = re.sub(r"\D", "", rest)
+    return code + _refill(rest, _mixed("phone", own, mapped)) if len(digits) >= 7 and 4 <= len(own) <= 14 else None
 
 
 def _day(order: str, mark: str) -> Callable[[str, Map], str | None]:
@@ -191,19 +206,57 @@ _NUMBERS = {"ymd": ("date", _day("ymd", "-")), "dmy": ("date", _day("dmy", "."))
             "ssn": ("ssn", _ssn), "ip": ("ip", _ip), "phone": ("phone", _phone), "card": ("card", _card)}
 
 
+def _numbers(text: str, start: int, end: int, mapped: Map) -> list[tuple[int, int, str, str]]:
+    """The valid numbers of a run. Behind a failed candidate shorter forms of it are tried, then its later tokens."""
+    out, at, failed = [], start, start
+    tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
+    for k, (first, _) in enumerate(tokens):
+        pattern = _LATER_NUMBER if first < failed else _NUMBER
+        if first < at or not (m := pattern.match(text, first, end)):
+            continue
+        tried = m.end()
+        shorter = [e for _, e in tokens[k:k + 12] if e < tried]
+        for m in (m, *(pattern.fullmatch(text, first, e) for e in reversed(shorter))):
+            if m:
+                kind, change = _NUMBERS[m.lastgroup]
+                new = change(m[0], mapped)
+                if new is not None:
+                    out.append((*m.span(), kind, new))
+                    at = m.end()
+                    break
+        else:
+            failed = max(failed, tried)
+    return out
+
+
+def _ibans(text: str, mapped: Map) -> list[tuple[int, int, str, str]]:
+    """The valid IBANs: of each candidate the length of its country, then the longest; behind a failed one its later tokens."""
+    out, at = [], 0
+    while m := _IBAN.search(text, at):
+        first, at = m.start(), m.end()
+        blanks = [m.start() + k for k, c in enumerate(m[0]) if c == " "]
+        ends = sorted([*blanks, at], key=lambda e: (e - first - text.count(" ", first, e) != _IBAN_LENGTHS.get(m[0][:2]), -e))
+        for e in ends:
+            if (n := _IBAN.fullmatch(text, first, e)) and (new := _iban(n[0], mapped)) is not None:
+                out.append((first, e, "iban", new))
+                at = e
+                break
+        else:
+            at = blanks[0] if blanks else at
+    return out
+
+
 def finds(text: str, mapped: Map) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of every valid value, in order, not overlapping."""
     found = []
     for run in _RUN.finditer(text):
-        for m in _NUMBER.finditer(text, run.start(), min(len(text), run.end() + 1)):
-            kind, change = _NUMBERS[m.lastgroup]
-            found.append((*m.span(), kind, change(m[0], mapped)))
+        found += _numbers(text, run.start(), min(len(text), run.end() + 1), mapped)
     found += [(*m.span(), "secret", _secret(m[0], mapped)) for m in _SECRET.finditer(text)]
     if "@" in text:
         found += [(*m.span(), "email", _email(m[0], mapped)) for m in _EMAIL.finditer(text)]
-    found += [(*m.span(), "iban", _iban(m[0], mapped)) for m in _IBAN.finditer(text)]
+    found += _ibans(text, mapped)
     out, end = [], 0
-    for f in sorted((f for f in found if f[3] is not None), key=lambda f: (f[0], -f[1])):
+    for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if f[0] >= end:
             out.append(f)
             end = f[1]

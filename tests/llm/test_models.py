@@ -50,6 +50,31 @@ def test_pseudonyms_keep_format_and_link():
     assert pii.pseudonymise(new, p.backward)[0] == PRIVATE
 
 
+def test_pseudonyms_behind_a_failed_candidate():
+    p = pii.Permutation(b"key")
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    for text, value, kind in ((f"order 1234 {card}", card, "card"), (f"1234-{card.replace(' ', '-')}", card.replace(" ", "-"), "card"), (f"0000 1234 {card}.", card, "card"),
+                              (f"{iban} PAID", iban, "iban"), (f"{iban} IS PAID NOW OK", iban, "iban"), (f"AB13 {iban} {iban}", iban, "iban"),
+                              (f"{iban.replace(' ', '')} PAID", iban.replace(" ", ""), "iban"), ("+44 2079 4609 5812 3412", "+44 2079 4609 5812 3412", "phone")):
+        new, spans = pii.pseudonymise(text, p.forward)
+        assert {s["kind"] for s in spans} == {kind} and value not in new and pii.pseudonymise(new, p.backward)[0] == text
+        assert len({new[s["start"]:s["end"]] for s in spans}) == 1
+    for text in ("12345678-1234", "v1.2.3.4.5", "10.0.0.300", "000-12-1234", "BE68 5390 0754 7035 PAID", "1234 1234 1234 1234 1234"):
+        assert pii.pseudonymise(text, p.forward) == (text, [])
+
+
+def test_phone_forms_are_linked():
+    p = pii.Permutation(b"key")
+    for forms in (["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+1-555-123-4567", "+1.555.123.4567"],
+                  ["+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+44-20-7946-0958"], ["+35312345678", "+353 1234 5678", "+353-12-34-56-78"], ["+74951234567", "+7 495 123 4567"]):
+        done = [pii.pseudonymise(f"call {f} now", p.forward) for f in forms]
+        assert all([s["kind"] for s in spans] == ["phone"] for _, spans in done)
+        made = [new[5:-4] for new, _ in done]
+        assert len({re.sub(r"[^+0-9]", "", m.replace("(0)", "")) for m in made}) == 1
+        assert [re.sub("[0-9]", "0", m) for m in made] == [re.sub("[0-9]", "0", f) for f in forms] and made[0][:2] == forms[0][:2] and made[0] != forms[0]
+        assert [pii.pseudonymise(new, p.backward)[0] for new, _ in done] == [f"call {f} now" for f in forms]
+
+
 def test_pseudonyms_of_odd_rows(odd_docs, odd_rows, no_docs):
     done = pii.with_pseudonyms(odd_docs, b"key")
     assert done.columns == [*odd_docs.columns, "private"]
