@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relist.llm import chat, decontaminate, exact, langid, licences, pii, quality, sentencepieces, simhash, substring
+from relist.llm import chat, decontaminate, exact, langid, licences, pii, quality, rules, runs, sentencepieces, simhash, spelling, substring
 from relist.llm.common import table
 
 #: The key of the pseudonyms in the query; a user passes their own.
@@ -78,7 +78,52 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("found.finds") - F.size(sure)).cast("long").alias("n_unconfirmed"))
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words from a on of every tenth document by crc32 become a repetition of the p words from there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    placed = words.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    changed = F.expr("array_join(transform(words, (w, i) -> if(i >= a, words[a + (i - a) % p], w)), ' ')")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.with_runs(with_planted_period(table(spark, sf_dir, "documents")), column="periodic").select("doc_id", "periodic.runs", "periodic.collapsed")
+    longest = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    best = found.withColumn("best", F.get(longest, F.lit(0))).withColumn("listed", listed)
+    length = -F.col("best.l")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), length.alias("length"), F.col("best.p").alias("period"),
+        F.floor(1000 * length / F.col("best.p")).alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
+    # One letter is deleted at most, so runs shorter than the shortest word cannot become one.
+    found = docs.select("id", F.explode(spelling.runs_of_letters(F.col("text"), spelling.SHORTEST)).alias("run"))
+    h = found.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = h.select(F.when(F.col("h") % 31 == 0, less).otherwise(F.col("run")).alias("word"))
+    return spelling.spelling_variants(spelling.vocabulary(words)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = rules.train(docs, table(spark, sf_dir, "labels").where(quality.learnable()))
+    found = rules.with_rules(docs, trees, column="found")
+    return found.select("doc_id", *[F.col(f"found.{c}").alias(c) for c in [*rules.COUNTS, "base_failed", "kept", "score"]])
+
+
 QUERIES = {
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_quality_rules": op13_quality_rules,
     "op10_licence_scan": op10_licence_scan,
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op9_chat_format": op9_chat_format,
