@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from relist import schemas as S
 from relist.operators import accounting, details, episodes, frontier, publish, reconcile, registry, validate
 from relist.session import configure, materialize, release, scratch_path
-from relist.sinks import tables
+from relist.sinks import feed, tables
+from relist.sinks.commits import Batch, Log, read_log
 from relist.sources import pages as page_source
 from relist.sources.tables import dedupe_last_by_key
 
@@ -59,16 +60,14 @@ def _checked(landed: DataFrame, specs: Mapping[str, S.SourceSpec], stage: str) -
     return materialize(validate.required_fields_check(registry.extract_pages(landed, specs)), "extracted", stage)
 
 
-def _save(spark: SparkSession, root: str, batch_id: int, tagged: DataFrame, errors: DataFrame,
-          run_ts: datetime | str, stored: DataFrame) -> None:
-    """Save, then publish; each table's batch folder appears as a whole or not at all."""
-    changed = changed_postings(tagged, stored, run_ts)
-    tables.append_errors(errors, root, batch_id)
-    tables.write_batch(other_dates(tagged), root, "posting_dates", batch_id)
-    tables.write_batch(changed, root, "postings", batch_id)
-    written = tables.read_table(spark, root, "postings", before=batch_id + 1, after=batch_id - 1)
+def _save(batch: Batch, tagged: DataFrame, errors: DataFrame, run_ts: datetime | str, stored: DataFrame) -> None:
+    """Write what a batch brings to the postings; it is seen when the batch is committed."""
+    batch.write(errors, "extract_errors")
+    batch.write(other_dates(tagged), "posting_dates")
+    batch.write(changed_postings(tagged, stored, run_ts), "postings")
+    written = batch.spark.read.schema(tables.POSTING_ROW).parquet(batch.path("postings"))
     validate.assert_unique_key(written, ["posting_id"])
-    tables.publish_changes(publish.publish_projection(reconcile.union_changed(tagged)), root, batch_id)
+    batch.write(publish.change_rows(tagged), "changes")
 
 
 def _land(spark: SparkSession, root: str, batch_id: int, offered: DataFrame, specs: Mapping[str, S.SourceSpec],
@@ -77,12 +76,14 @@ def _land(spark: SparkSession, root: str, batch_id: int, offered: DataFrame, spe
 
     Returns the landed texts as read back, and one row per page of a known source without its text.
     """
+    batch = Batch(spark, root, batch_id, tables.LANDED)
     known = F.coalesce(F.col("source").isin(*specs), F.lit(False))
-    tables.write_batch(offered.where(~known).select(*S.RAW_PAGE.fieldNames()), root, "quarantined_pages", batch_id)
-    tables.append_raw_page(offered.where(known & F.col("content").isNotNull()), root, batch_id)
+    batch.write(offered.where(~known).select(*S.RAW_PAGE.fieldNames()), "quarantined_pages")
+    batch.write(tables.raw_layout(offered.where(known & F.col("content").isNotNull())), "raw_pages", tables.RAW_LAYOUT)
     pages = offered.where(known).withColumn("has_content", F.col("content").isNotNull()).drop("content")
     pages = materialize(frontier.with_run(pages), "pages", stage)
-    tables.append_run_pages(accounting.open_run_page(pages, run_ts), root, batch_id)
+    batch.write(accounting.open_run_page(pages, run_ts), "run_page_events")
+    batch.commit()
     return tables.read_table(spark, root, "raw_pages", before=batch_id + 1, after=batch_id - 1).drop("batch_id", "capture_date"), pages
 
 
@@ -93,13 +94,16 @@ def run_ingest(
     gap_days: int = S.REPOST_GAP_DAYS, specs: Mapping[str, S.SourceSpec] = registry.DEFAULT_REGISTRY,
     end_ts: datetime | str | None = None,
 ) -> RunResult:
-    """Land pages, extract, reconcile, end each run at its frontier, save, publish, account.
+    """Land pages, extract, reconcile, end each run at its frontier, save, account, publish.
 
     `pages` has the raw page columns and optionally run_id, see frontier.with_run; content is null where a
     page failed to load. Every page is landed and opened in the history before anything is extracted, so a
     failure later on leaves a trace; pages of unknown sources are quarantined. Pages
     behind the end of their run are landed and marked, but not worked on; the end is
     stored, and later batches of the run know it, so a run may arrive in one batch or in many.
+
+    What was landed is committed first, all that comes of the work in one commit at the end (see sinks.commits), and
+    the messages are read from there: a job that fails shows none of its work, and what it saved is published by the next.
     """
     configure(spark)
     _known_sources(sources, specs)
@@ -109,29 +113,31 @@ def run_ingest(
     try:
         offered = page_source.page_range(page_source.select_sources(pages, sources), start_page, end_page)
         landed, index = _land(spark, root, batch_id, offered, specs, run_ts, stage)
-        known_stops = tables.read_table(spark, root, "run_stops", before=batch_id).groupBy(*frontier.RUN).agg(F.min("stop_page").alias("stop_page"))
-        runs = frontier.runs_in_order(index, tables.read_table(spark, root, "page_runs", before=batch_id))
+        log = read_log(spark, root)
+        known_stops = tables.read_table(spark, root, "run_stops", before=batch_id, log=log).groupBy(*frontier.RUN).agg(F.min("stop_page").alias("stop_page"))
+        runs = frontier.run_times(index, tables.read_table(spark, root, "page_runs", before=batch_id, log=log))
         index = materialize(index.join(runs, list(frontier.RUN)), "page-index", stage)
         checked = _checked(landed, specs, stage)
-        stored = tables.current_postings(spark, root, before=batch_id)
+        stored = tables.current_postings(spark, root, before=batch_id, log=log)
         # Within a run pages arrive by number: the time of a listing's arrival is that of its run.
         place = index.groupBy("raw_page_id").agg(F.min("run_at").alias("captured_at"))
         valid = materialize(validate.route_valid(checked).drop("captured_at").join(place, "raw_page_id"), "valid", stage)
 
-        def fold(open_pages: DataFrame) -> DataFrame:
-            rows = valid.join(open_pages.select("raw_page_id"), "raw_page_id", "left_semi")
-            return materialize(episodes.posting_episodes(rows, stored, gap_days, stage=stage), "tagged", stage)
+        def fold(rows: DataFrame) -> DataFrame:
+            return episodes.posting_episodes(rows, stored, gap_days, stage=stage)
 
-        marked, tagged, stops = frontier.settle_runs(index, known_stops, fold, end_page, lambda df, name: materialize(df, name, stage))
+        marked, tagged, stops = frontier.settle_runs(index, valid, known_stops, fold, end_page, lambda df, name: materialize(df, name, stage))
         marked = materialize(marked, "marked", stage)
-        done = marked.where("processed").drop("run_no", "run_at", "processed")
+        done = marked.where("processed").drop("run_at", "processed")
         errors = validate.route_errors(checked.join(done.select("raw_page_id"), "raw_page_id", "left_semi"))
 
-        _save(spark, root, batch_id, tagged, errors, run_ts, stored)
-        tables.write_batch(marked.select(*S.PAGE_RUN.fieldNames()), root, "page_runs", batch_id)
-        tables.write_batch(stops.select(*frontier.RUN, "stop_page"), root, "run_stops", batch_id)
-        closed = accounting.close_run_page(marked, accounting.run_page_ids(tagged, errors), run_ts, end_ts or _ended(run_ts))
-        tables.append_run_pages(closed, root, batch_id, more=True)
+        batch = Batch(spark, root, batch_id, tables.SAVED)
+        _save(batch, tagged, errors, run_ts, stored)
+        batch.write(marked.select(*S.PAGE_RUN.fieldNames()), "page_runs")
+        batch.write(stops.select(*frontier.RUN, "stop_page"), "run_stops")
+        batch.write(accounting.close_run_page(marked, accounting.run_page_ids(tagged, errors), run_ts, end_ts or _ended(run_ts)), "run_page_events")
+        batch.commit(based_on=log.number, guard=("postings",))
+        feed.publish_changes(spark, root)
         if with_details:
             run_details(spark, root, detail_pages, batch_id, run_ts, sources or sorted(specs))
         counts = accounting.page_outcome_counts(tagged, errors)
@@ -160,12 +166,16 @@ def run_replay(
     _known_sources([source], specs)
     stage = scratch_path(spark, "replay")
     try:
-        landed = page_source.scan_raw_pages(tables.read_table(spark, root, "raw_pages", before=batch_id), source, start_ts, end_ts)
+        log = read_log(spark, root)
+        landed = page_source.scan_raw_pages(tables.read_table(spark, root, "raw_pages", before=batch_id, log=log), source, start_ts, end_ts)
         checked = _checked(landed, specs, stage)
-        stored = tables.current_postings(spark, root, before=batch_id)
+        stored = tables.current_postings(spark, root, before=batch_id, log=log)
         tagged = materialize(episodes.posting_episodes(validate.route_valid(checked), stored, gap_days, stage=stage), "tagged", stage)
         errors = validate.route_errors(checked)
-        _save(spark, root, batch_id, tagged, errors, run_ts, stored)
+        batch = Batch(spark, root, batch_id, tables.SAVED)
+        _save(batch, tagged, errors, run_ts, stored)
+        batch.commit(based_on=log.number, guard=("postings",))
+        feed.publish_changes(spark, root)
         counts = accounting.page_outcome_counts(tagged, errors)
         return RunResult(landed.drop("content"), tagged, errors, accounting.replay_totals(counts), stage)
     except BaseException:
@@ -173,20 +183,47 @@ def run_replay(
         raise
 
 
+def waiting_for_details(spark: SparkSession, root: str, batch_id: int, log: Log) -> DataFrame:
+    """(posting_id, source, url) of the postings opened up to this batch that have no detail row by an earlier one.
+
+    Kept, not computed anew: what the last run with details left over, and what the batches saved since have opened. Only for
+    batches that were saved again behind a run with details are the stored details looked through.
+    """
+    earlier = log.entries("posting_details", before=batch_id)
+    taken = [(e.part.batch_id, e.part.upto or 0) for e in earlier]
+    fresh = [e for e in log.entries("changes", phase=tables.SAVED, before=batch_id + 1) if not any(b >= e.part.batch_id and u >= e.number for b, u in taken)]
+    last = max((b for b, _ in taken), default=-1)
+    again = {e.part.batch_id for e in fresh if e.part.batch_id <= last}
+    left = tables.read_table(spark, root, "details_backlog", before=last + 1, after=last - 1, log=log).drop("batch_id")
+    if not fresh:
+        return left
+    numbers = [e.part.batch_id for e in fresh]
+    changes = tables.read_table(spark, root, "changes", before=max(numbers) + 1, after=min(numbers) - 1, log=log)
+    opened = changes.where(F.col("opened") & F.col("batch_id").isin(numbers)).select(F.col("key").alias("posting_id"), *S.KEYS, "batch_id").dropDuplicates(["posting_id"])
+    if again:
+        done = tables.read_table(spark, root, "posting_details", before=batch_id, log=log)
+        opened = opened.where(~F.col("batch_id").isin(*again)).unionByName(details.details_backlog(opened.where(F.col("batch_id").isin(*again)), done))
+        left = left.join(opened.select("posting_id"), "posting_id", "left_anti")
+    return left.unionByName(opened.drop("batch_id"))
+
+
 def run_details(spark: SparkSession, root: str, detail_pages: DataFrame, batch_id: int, run_ts: datetime | str,
                 sources: Sequence[str] = ()) -> DataFrame:
-    """Detail rows for all postings without one. The backlog is the table itself, so work
-    left over by an interrupted run is picked up by the next."""
+    """Detail rows for all postings of `sources` without one. What is left over is stored with them, so work
+    left by an interrupted run is picked up by the next."""
     configure(spark)
-    postings = page_source.select_sources(tables.current_postings(spark, root, before=batch_id + 1), sources)
-    done = tables.read_table(spark, root, "posting_details", before=batch_id)
+    log = read_log(spark, root)
+    batch = Batch(spark, root, batch_id, tables.DETAILED)
     stage = scratch_path(spark, "details")
     try:
-        backlog = materialize(details.details_backlog(postings, done).select("posting_id", "url"), "backlog", stage)
-        tables.append_details(details.attach_details(backlog, detail_pages, run_ts), root, batch_id)
+        waiting = materialize(waiting_for_details(spark, root, batch_id, log), "backlog", stage)
+        mine = page_source.select_sources(waiting, sources)
+        batch.write(details.attach_details(mine.select("posting_id", "url"), detail_pages, run_ts), "posting_details")
+        batch.write(waiting.join(mine.select("posting_id"), "posting_id", "left_anti").select(*tables.BACKLOG_ROW.fieldNames()), "details_backlog")
+        batch.commit(upto=log.number)
     finally:
         release(spark, stage)
-    return tables.read_table(spark, root, "posting_details").where(F.col("batch_id") == batch_id)
+    return tables.read_table(spark, root, "posting_details", before=batch_id + 1, after=batch_id - 1)
 
 
 def run_history(spark: SparkSession, root: str) -> DataFrame:

@@ -1,13 +1,13 @@
-"""Stored tables as parquet folders, one sub-folder per batch.
+"""Stored tables as parquet folders that the commit log names.
 
-Every batch writes its own `batch_id=N` folder and reads only earlier ones, so a batch
-that is run again replaces its own output and nothing else. The postings table is read as
-the latest version of each posting; compaction folds the batches so far into a base.
+Every batch writes folders of its own and reads only earlier batches; a batch that is run again replaces its own rows
+and nothing else. What a batch writes in one phase appears in all tables at once, see sinks.commits. The postings
+table is read as the latest version of each posting; compaction folds the batches so far into a base.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from relist import schemas as S
 from relist.operators.reconcile import upsert_postings
+from relist.sinks import commits
+from relist.sinks.commits import Batch, Folder, Log, Part, read_log
 from relist.sources.tables import dedupe_last_by_key
 
 BATCH = T.StructField("batch_id", T.LongType())
@@ -27,11 +29,23 @@ POSTING_DATE_ROW = T.StructType([
     T.StructField("captured_at", T.TimestampType()), T.StructField("page", T.IntegerType()),
     T.StructField("ordinal", T.IntegerType()),
 ])
-MESSAGE_ROW = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+# A change as committed with its batch: the message, where it arrived, and whether it opened its posting.
+CHANGE_ROW = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
+    T.StructField("captured_at", T.TimestampType()), T.StructField("page", T.IntegerType()), T.StructField("ordinal", T.IntegerType()),
+    T.StructField("source", T.StringType()), T.StructField("url", T.StringType()), T.StructField("opened", T.BooleanType()),
+])
+# A message as handed on. The commit of its batch and its arrival there put the messages of a key in order.
+MESSAGE_ROW = T.StructType([*CHANGE_ROW.fields[:5], T.StructField("commit_number", T.LongType())])
+BACKLOG_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("posting_id", "source", "url")])
 STORED = {
-    **S.TABLES, "postings": POSTING_ROW, "posting_dates": POSTING_DATE_ROW, "published": MESSAGE_ROW,
+    **S.TABLES, "postings": POSTING_ROW, "posting_dates": POSTING_DATE_ROW, "published": MESSAGE_ROW, "changes": CHANGE_ROW,
     "run_page_events": S.RUN_PAGE, "page_runs": S.PAGE_RUN, "run_stops": S.RUN_STOP, "quarantined_pages": S.RAW_PAGE,
+    "details_backlog": BACKLOG_ROW,
 }
+# The phases of a batch. Pages are landed before any work on them; all that comes of the work is saved together.
+LANDED, SAVED, DETAILED, PUBLISHED, BASE = "landed", "saved", "detailed", "published", "base"
+PHASE_OF = {"raw_pages": LANDED, "quarantined_pages": LANDED, "posting_details": DETAILED, "details_backlog": DETAILED, "published": PUBLISHED}
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -39,37 +53,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = (), more: bool = False) -> None:
-    """Append one batch. Running the batch again replaces its folder; `more` adds rows to what the batch has written.
-
-    Rows are rebalanced by the partition columns: small partitions get one file each, and
-    a partition with much of the data is split over several tasks.
-    """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    df.write.mode("append" if more else "overwrite").partitionBy(*partition_by).parquet(f"{root}/{table}/batch_id={batch_id}")
+def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = (), phase: str | None = None) -> None:
+    """Write and commit one table of a batch. Running the batch again replaces its rows of that phase."""
+    batch = Batch(df.sparkSession, root, batch_id, phase or PHASE_OF.get(table, SAVED))
+    batch.write(df, table, partition_by)
+    batch.commit()
 
 
-def read_table(spark: SparkSession, root: str, table: str, before: int | None = None, after: int | None = None) -> DataFrame:
-    """Rows of the batches in (after, before), with their batch_id."""
+def read_table(spark: SparkSession, root: str, table: str, before: int | None = None, after: int | None = None, log: Log | None = None) -> DataFrame:
+    """Committed rows of the batches in (after, before), with their batch_id; `log` fixes the moment."""
     schema = T.StructType([*STORED[table].fields, BATCH])
-    path = f"{root}/{table}"
-    if not exists(spark, path):
+    folders = (log or read_log(spark, root)).folders(table, before, after)
+    if not folders:
         return spark.createDataFrame([], schema)
     if table == "raw_pages":
         schema = T.StructType([*schema.fields, T.StructField("capture_date", T.DateType())])
-    rows = spark.read.schema(schema).parquet(path)
-    if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    if after is not None:
-        rows = rows.where(F.col("batch_id") > after)
-    return rows
+    reader = spark.read.schema(schema).option("basePath", f"{root}/{table}")
+    paths = [f"{root}/{table}/{f}" for f in folders]
+    return (reader.json(paths) if table == "published" else reader.parquet(*paths)).drop("commit")
+
+
+RAW_LAYOUT = ("source", "capture_date")
+
+
+def raw_layout(pages: DataFrame) -> DataFrame:
+    """Raw pages with the columns of their layout."""
+    return pages.select(*[f.name for f in S.RAW_PAGE.fields]).withColumn("capture_date", F.to_date("captured_at"))
 
 
 def append_raw_page(pages: DataFrame, root: str, batch_id: int) -> None:
     """Land pages, laid out by source and capture date."""
-    dated = pages.select(*[f.name for f in S.RAW_PAGE.fields]).withColumn("capture_date", F.to_date("captured_at"))
-    write_batch(dated, root, "raw_pages", batch_id, ("source", "capture_date"))
+    write_batch(raw_layout(pages), root, "raw_pages", batch_id, RAW_LAYOUT)
 
 
 def append_errors(errors: DataFrame, root: str, batch_id: int) -> None:
@@ -80,22 +94,8 @@ def append_details(details: DataFrame, root: str, batch_id: int) -> None:
     write_batch(details, root, "posting_details", batch_id)
 
 
-def append_run_pages(events: DataFrame, root: str, batch_id: int, more: bool = False) -> None:
-    write_batch(events, root, "run_page_events", batch_id, more=more)
-
-
-def publish_changes(messages: DataFrame, root: str, batch_id: int) -> None:
-    """Hand (key, value) messages on as JSON lines; the same frame fits a Kafka sink.
-
-    At least once: a batch that is run again publishes the same messages again.
-    """
-    messages.select("key", "value").write.mode("overwrite").json(f"{root}/published/batch_id={batch_id}")
-
-
-def read_published(spark: SparkSession, root: str) -> DataFrame:
-    if not exists(spark, f"{root}/published"):
-        return spark.createDataFrame([], T.StructType([*MESSAGE_ROW.fields, BATCH]))
-    return spark.read.schema(T.StructType([*MESSAGE_ROW.fields, BATCH])).json(f"{root}/published")
+def append_run_pages(events: DataFrame, root: str, batch_id: int, closing: bool = False) -> None:
+    write_batch(events, root, "run_page_events", batch_id, phase=SAVED if closing else LANDED)
 
 
 def prune_layout(df: DataFrame, keys: Sequence[str] = tuple(S.KEYS)) -> DataFrame:
@@ -106,26 +106,29 @@ def prune_layout(df: DataFrame, keys: Sequence[str] = tuple(S.KEYS)) -> DataFram
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def committed_bases(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(upto, folder name) of the finished bases, oldest first; a folder without its commit mark is not a base."""
-    path = f"{root}/postings_base"
-    if not exists(spark, path):
-        return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
-    found = [(int(m[1]), int(m[2] or 0), n) for n in names if (m := re.fullmatch(r"upto=(\d+)(?:-(\d+))?", n))]
-    return [(upto, name) for upto, _, name in sorted(found) if exists(spark, f"{path}/{name}/_SUCCESS")]
+def committed_bases(spark: SparkSession, root: str, log: Log | None = None) -> list[tuple[int, str]]:
+    """(upto, folder name) of the bases that count, oldest first.
+
+    A base in which a batch is not what it is now, as it was saved or run again after the base was made, does not count.
+    """
+    log = log or read_log(spark, root)
+    found = []
+    for e in log.entries("postings_base"):
+        later = [p for p in log.entries("postings", before=e.part.batch_id + 1) if p.number > e.part.upto]
+        found += [(e.part.batch_id, f) for f in e.part.tables["postings_base"] if not later]
+    return sorted(found)
 
 
-def current_postings(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The postings table as of the batches before `before`.
+def current_postings(spark: SparkSession, root: str, before: int | None = None, log: Log | None = None) -> DataFrame:
+    """The postings table as of the batches before `before`; `log` fixes the moment.
 
     The base is only filtered against the ids changed since; it is not regrouped.
     """
+    log = log or read_log(spark, root)
     names = [f.name for f in POSTING_ROW.fields]
-    bases = [b for b in committed_bases(spark, root) if before is None or b[0] < before]
-    log = read_table(spark, root, "postings", before=before, after=bases[-1][0] if bases else None)
-    latest = dedupe_last_by_key(log, ["posting_id"], ["batch_id"]).select(*names)
+    bases = [b for b in committed_bases(spark, root, log) if before is None or b[0] < before]
+    rows = read_table(spark, root, "postings", before=before, after=bases[-1][0] if bases else None, log=log)
+    latest = dedupe_last_by_key(rows, ["posting_id"], ["batch_id"]).select(*names)
     if not bases:
         return latest
     base = spark.read.schema(POSTING_ROW).parquet(f"{root}/postings_base/{bases[-1][1]}")
@@ -133,17 +136,17 @@ def current_postings(spark: SparkSession, root: str, before: int | None = None)
 
 
 def compact_postings(spark: SparkSession, root: str, upto: int) -> None:
-    """Write the table as of batch `upto` as a new base, in its pruning layout.
+    """Write the table as of batch `upto` as a new base, in its pruning layout, and commit it.
 
-    Always into a folder of its own: what is there is being read, and what a broken-off
-    compaction left is never taken for a base, as only a finished write has its commit mark.
+    Always into a folder of its own: what is there is being read, and what a broken-off compaction left is in no commit.
     """
+    log = read_log(spark, root)
     path, taken = f"{root}/postings_base/upto={upto}", 0
     while exists(spark, path):
         taken += 1
         path = f"{root}/postings_base/upto={upto}-{taken}"
-    base = prune_layout(current_postings(spark, root, before=upto + 1))
-    base.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    prune_layout(current_postings(spark, root, before=upto + 1, log=log)).write.parquet(path)
+    commits.commit(spark, root, [Part(upto, BASE, {"postings_base": [path.rsplit("/", 1)[1]]}, log.number)])
 
 
 def posting_documents(postings: DataFrame, dates: DataFrame) -> DataFrame:
@@ -162,31 +165,49 @@ def posting_documents(postings: DataFrame, dates: DataFrame) -> DataFrame:
     return whole.withColumn("other_posting_dates", F.coalesce("other_posting_dates", empty))
 
 
-SNAPSHOT = [t for t in STORED if t != "run_pages"]
+SNAPSHOT = [t for t in STORED if t not in ("run_pages", "details_backlog")]
+MANIFEST = "_snapshot.json"
 
 
-def export_snapshot(spark: SparkSession, root: str, dest: str, date: str) -> None:
-    """Dated copy of all tables; an existing copy of that date is refused.
+def export_snapshot(spark: SparkSession, root: str, dest: str, date: str, as_of: int | None = None) -> int:
+    """Dated copy of all tables as of one commit (the last, if not given), whatever is committed meanwhile.
 
     Rows keep the batch they were written by, postings that of their last version, so a copy can be
-    worked on as the original can.
+    worked on as the original can. An existing copy of that date is refused. Returns the commit number.
     """
+    log = read_log(spark, root, as_of)
     for table in SNAPSHOT:
+        rows = read_table(spark, root, table, log=log)
         if table == "postings":
-            rows = dedupe_last_by_key(read_table(spark, root, "postings"), ["posting_id"], ["batch_id"])
-        elif table == "published":
-            rows = read_published(spark, root)
-        else:
-            rows = read_table(spark, root, table).drop("capture_date")
-        rows.write.mode("errorifexists").parquet(f"{dest}/{date}/{table}")
+            rows = dedupe_last_by_key(rows, ["posting_id"], ["batch_id"])
+        rows.drop("capture_date").write.mode("errorifexists").parquet(f"{dest}/{date}/{table}")
+    # The batches whose messages were not handed on at that moment.
+    waiting = [e.part.batch_id for e in log.entries("changes", phase=SAVED) if e.number > log.position(PUBLISHED)]
+    Folder(spark, f"{dest}/{date}").create(MANIFEST, {"as_of": log.number, "waiting": waiting})
+    return log.number
 
 
 def load_snapshot(spark: SparkSession, dest: str, date: str, root: str) -> None:
     """Working tables under a new `root` from a dated copy."""
+    if read_log(spark, root).number:
+        raise ValueError(f"{root} already exists")
+    waiting = {(b, SAVED) for b in Folder(spark, f"{dest}/{date}").read(MANIFEST)["waiting"]}
+    token = f"commit={uuid.uuid4().hex}"
+    parts: dict[tuple[int, str], dict[str, list[str]]] = {}
     for table in SNAPSHOT:
         rows = spark.read.schema(T.StructType([*STORED[table].fields, BATCH])).parquet(f"{dest}/{date}/{table}")
         layout = ["batch_id"]
         if table == "raw_pages":
-            rows, layout = rows.withColumn("capture_date", F.to_date("captured_at")), ["batch_id", "source", "capture_date"]
+            rows, layout = rows.withColumn("capture_date", F.to_date("captured_at")), ["batch_id", *RAW_LAYOUT]
         writer = rows.hint("rebalance", *layout).write.mode("errorifexists").partitionBy(*layout)
-        (writer.json if table == "published" else writer.parquet)(f"{root}/{table}")
+        (writer.json if table == "published" else writer.parquet)(f"{root}/{table}/{token}")
+        for name in batch_folders(spark, f"{root}/{table}/{token}"):
+            parts.setdefault((int(name.removeprefix("batch_id=")), PHASE_OF.get(table, SAVED)), {})[table] = [f"{token}/{name}"]
+    done = [Part(*key, tables) for key, tables in sorted(parts.items()) if key not in waiting]
+    commits.commit(spark, root, [*done, Part(-1, PUBLISHED, {}, 1)])
+    commits.commit(spark, root, [Part(*key, tables) for key, tables in sorted(parts.items()) if key in waiting])
+
+
+def batch_folders(spark: SparkSession, path: str) -> list[str]:
+    """The batch_id folders that a write laid out."""
+    return [n for n in Folder(spark, path).names() if n.startswith("batch_id=")]

@@ -9,12 +9,15 @@ from relist.operators import publish as P
 from relist.operators import validate as V
 from relist.operators import registry as R
 from relist.session import scratch_path
+from relist.operators.reconcile import NEW
+from relist.sinks import feed
 from relist.sinks import tables as T
+from relist.sinks.commits import Batch, read_log
 from relist.sources import tables as sources
 from relist_queries.base import query, table
 from relist_queries.frames import (
     ALL_LISTINGS, EVENT_PAGES, LINEITEM_SIGHTINGS, ORDER_POSTINGS, event_pages, flat, lineitem_sightings, list_pages,
-    order_postings, sql_id,
+    order_postings, order_sightings, sql_id,
 )
 from relist_queries.reconciliation import ATTACHED, MESSAGE, _detail_postings
 
@@ -50,11 +53,25 @@ def append_details(spark, sf):
     return flat(T.read_table(spark, root, "posting_details").drop("batch_id"))
 
 
-@query("publish_changes", f"WITH {ORDER_POSTINGS} SELECT posting_id AS key, {MESSAGE} AS value, 7::BIGINT AS batch_id FROM postings")
+@query("publish_changes", f"""
+WITH {ORDER_POSTINGS}
+SELECT posting_id AS key, {MESSAGE} AS value, 1 + CAST(substr(posting_id, 9) AS BIGINT) % 3 AS batch_id, 1 + CAST(substr(posting_id, 9) AS BIGINT) % 3 AS commit_number
+FROM postings""")
 def publish_changes(spark, sf):
+    """Three batches: a try of the first was never committed, the jobs of the first two ended before they handed anything on,
+    that of the third hands on what is behind the position; then there is nothing left."""
     root = scratch_path(spark, "published")
-    T.publish_changes(P.publish_projection(order_postings(spark, sf)), root, 7)
-    return T.read_published(spark, root)
+    tagged = order_sightings(spark, sf).withColumns({
+        "posting_id": F.concat(F.lit("posting-"), F.col("page").cast("string")), "outcome": F.lit(NEW), "batch": 1 + F.col("page") % 3,
+        "page": F.col("page").cast("int"), "captured_at": F.col("captured_at").cast("timestamp")})
+    for batch_id, committed in ((1, False), (1, True), (2, True), (3, True)):
+        batch = Batch(spark, root, batch_id, T.SAVED)
+        batch.write(P.change_rows(tagged.where(F.col("batch") == batch_id)), "changes")
+        if committed:
+            batch.commit()
+    feed.publish_changes(spark, root)
+    feed.publish_changes(spark, root)
+    return feed.read_published(spark, root).select("key", "value", "batch_id", "commit_number")
 
 
 @query("prune_layout", f"""
@@ -94,9 +111,14 @@ def current_postings(spark, sf):
 
 @query("export_snapshot", CURRENT)
 def export_snapshot(spark, sf):
+    """The tables as of a commit, exported after a later batch was saved and while another one is being written."""
     root = scratch_path(spark, "export")
     _store(spark, sf, root)
-    T.export_snapshot(spark, root, f"{root}-dump", "2024-02-02")
+    moment = read_log(spark, root).number
+    later = T.read_table(spark, root, "postings").drop("batch_id").withColumn("title", F.lit("later"))
+    T.write_batch(later, root, "postings", 3)
+    Batch(spark, root, 4, T.SAVED).write(later, "postings")
+    T.export_snapshot(spark, root, f"{root}-dump", "2024-02-02", as_of=moment)
     rows = sources.restore_snapshot(spark, f"{root}-dump", "2024-02-02", "postings", T.POSTING_ROW)
     return flat(rows.select("posting_id", "title", "source", "url", "posting_date"))
 

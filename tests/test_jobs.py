@@ -10,6 +10,7 @@ from relist import schemas as S
 from relist.operators import accounting as A
 from relist.plans import jobs
 from relist.schemas import HTML_SOURCE, JSON_SOURCE
+from relist.sinks import feed
 from relist.sinks import tables as T
 from relist.sources import pages as P
 from relist.sources import tables as sources
@@ -96,7 +97,7 @@ def test_failed_batch_can_be_run_again(spark, root):
     again = counts(jobs.run_ingest(spark, root, pages, 0, RUN))
     assert first == again == (4, 0, 1)
     assert table(spark, root).count() == 4
-    assert T.read_published(spark, root).count() == 4
+    assert feed.read_published(spark, root).count() == 4
     assert table(spark, root, "extract_errors").count() == 1
 
 
@@ -141,7 +142,7 @@ def test_replay_in_a_time_range(spark, root):
 
 def test_messages(spark, root):
     jobs.run_ingest(spark, root, json_raw(spark, json_page([hit(3)])), 0, RUN)
-    row = T.read_published(spark, root).first()
+    row = feed.read_published(spark, root).first()
     posting = table(spark, root).first()
     assert row.key == posting.posting_id
     assert row.value == ('{"_id":"%s","url":"https://www.vietnamworks.com/role-3-3-jv","title":"Role 3","tags":["A","B"],'
