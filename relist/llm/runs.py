@@ -147,13 +147,16 @@ def _longest(most: np.ndarray, same) -> np.ndarray:
     return low
 
 
-def _compared(ids: np.ndarray, start: int, stop: int, lag: int) -> list[tuple[int, int]]:
-    """The stretches of [start, stop) whose words equal those `lag` further on: one, unless a hash collided."""
-    equal = ids[start:stop] == ids[start + lag:stop + lag]
-    if equal.all():
+def _compared(ids: np.ndarray, start: int, stop: int, lag: int, low: int, high: int) -> list[tuple[int, int]]:
+    """The stretches of words equal to those `lag` further on that meet [start, stop): that one itself, unless a hash collided.
+
+    After a collision the whole text, [low, high), is compared at this lag.
+    """
+    if (ids[start:stop] == ids[start + lag:stop + lag]).all():
         return [(start, stop)]
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]]))) + start
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+    equal = ids[low:high - lag] == ids[low + lag:high]
+    edges = (np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]]))) + low).tolist()
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < stop and b > start]
 
 
 def _lines(tape: Tape, place: np.ndarray, lag: np.ndarray, size: int, least: int) -> np.ndarray:
@@ -163,14 +166,16 @@ def _lines(tape: Tape, place: np.ndarray, lag: np.ndarray, size: int, least: int
     # What the seeds of a lag have covered: the next seed within reach, in the same text, is on the same line.
     fresh = np.ones(len(place), bool)
     fresh[1:] = (lag[1:] != lag[:-1]) | (place[1:] > place[:-1] + size) | (tape.owner[place[1:]] != tape.owner[place[:-1]])
+    covered = place[np.append(fresh[1:], True)] + size if len(place) else place
     place, lag = place[fresh], lag[fresh]
-    other = place + lag
-    back = _longest(place - tape.low(place), lambda k: tape.hash(place - k, place) == tape.hash(other - k, other))
-    ahead, beyond = place + size, other + size
-    on = _longest(tape.high(place) - beyond, lambda k: tape.hash(ahead, ahead + k) == tape.hash(beyond, beyond + k))
-    enough = back + size + on >= np.maximum(least - lag, lag)
-    found = {(a, b, q) for s, e, q in np.stack([place - back, ahead + on, lag], 1)[enough].tolist()
-             for a, b in _compared(tape.ids, s, e, q) if b - a >= max(least - q, q)}
+    other, beyond = place + lag, covered + lag
+    low, high = tape.low(place), tape.high(place)
+    back = _longest(place - low, lambda k: tape.hash(place - k, place) == tape.hash(other - k, other))
+    on = _longest(high - beyond, lambda k: tape.hash(covered, covered + k) == tape.hash(beyond, beyond + k))
+    start, end = place - back, covered + on
+    enough = end - start >= np.maximum(least - lag, lag)
+    found = {(a, b, q) for s, e, q, x, y in np.stack([start, end, lag, low, high], 1)[enough].tolist()
+             for a, b in _compared(tape.ids, s, e, q, x, y) if b - a >= max(least - q, q)}
     return np.array([(a, b + q, q) for a, b, q in sorted(found)], np.int64).reshape(-1, 3)
 
 
