@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes at a time; a longer text makes a pass of its own.
 SLICE_BYTES = 1 << 20
@@ -19,6 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """`name`, or with underscores in front, so that `docs` has no such column (names are compared without case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def one_row_each(rows: DataFrame, keys: Sequence[Column], times: DataFrame, same: Callable[[DataFrame, DataFrame], Column]) -> DataFrame:
+    """`rows`, but of those that `times` (a frame of the keys that several rows share) matches, one for each key.
+
+    A key that many rows share is reduced in each task before anything is moved; all others pass as they are.
+    """
+    several = rows.join(times, same(rows, times), "left_semi")
+    whole = unused(rows, "__row")
+    named = [k.alias(f"{whole}{i}") for i, k in enumerate(keys)]
+    one = several.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias(whole), *named).groupBy(*[f"{whole}{i}" for i in range(len(keys))]).agg(
+        F.any_value(whole).alias(whole))
+    return rows.join(times, same(rows, times), "left_anti").unionByName(one.select(f"{whole}.*"))
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[tuple[int, int]]:
     """Row ranges that cover `texts`, each of at most `rows` rows and `limit` bytes of text, or of one row."""
     if not len(texts):

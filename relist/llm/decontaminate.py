@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import Powers, clean, gram_hashes, powers, runs_to_mask, slices, texts_of, window_minima, words_of
+from relist.llm.common import Powers, clean, gram_hashes, powers, runs_to_mask, slices, texts_of, unused, window_minima, words_of
 from relist.session import materialize
 
 WINDOW, GRAM = 10, 5
@@ -160,5 +160,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` that share no window with the benchmark."""
-    found = "__contamination"
+    found = unused(docs, "__contamination")
     return find_contamination(docs, benchmark, text, found).where(F.col(found)["n_hit"] == 0).drop(found)

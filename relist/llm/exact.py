@@ -12,9 +12,9 @@ lists mean equal texts.
 
 Defined cases: null counts as empty; all empty texts form one group (empty list). A text of white
 space alone becomes one space and equals others like it, not the empty text. Rows that repeat a
-doc_id and text are the same document: they count in group_size and share one decision. A null doc_id is
-kept only if no other row of the group has an id. Extra columns are ignored by `exact_groups` and
-returned unchanged by `drop_exact_copies`.
+doc_id and text are the same document: they count in group_size and `kept` marks all of them, but
+`drop_exact_copies` leaves one row of each group. A null doc_id is kept only if no other row of the group has an
+id. Extra columns are ignored by `exact_groups` and returned unchanged by `drop_exact_copies`.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relist.llm.common import one_row_each
 from relist.session import materialize
 
 #: Runs that are not one space already.
@@ -85,7 +86,19 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ch
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose document stays, with all their columns."""
-    gone = exact_groups(docs, doc_id, text).where("not kept").select("doc_id", "text_sha256").distinct()
-    same = docs[doc_id].eqNullSafe(gone["doc_id"]) & (F.sha2(normalise(docs[text]), 256) == gone["text_sha256"])
-    return docs.join(gone, same, "left_anti")
+    """One row of `docs` for each text, that with the smallest doc_id, with all its columns.
+
+    Of several rows that repeat this doc_id, or of a text whose rows all have none, any one stays.
+    """
+    grouped = exact_groups(docs, doc_id, text)
+    gone = grouped.where("not kept").select("doc_id", "text_sha256").distinct()
+    times = grouped.where("kept and group_size > 1").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+
+    def same(rows: DataFrame, keys: DataFrame) -> Column:
+        return rows[doc_id].eqNullSafe(keys["doc_id"]) & (F.sha2(normalise(rows[text]), 256) == keys["text_sha256"])
+
+    times = materialize(times.select("doc_id", "text_sha256"), "repeated-ids")
+    stays = docs.join(gone, same(docs, gone), "left_anti")
+    if times.isEmpty():
+        return stays
+    return one_row_each(stays, [stays[doc_id], F.sha2(normalise(stays[text]), 256)], times, same)

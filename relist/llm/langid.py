@@ -7,7 +7,7 @@ gives up to CENTROIDS centroids. A text gets the language of the centroid of the
 rejected if it is farther from that centroid than the sample's rows are (their RADIUS quantile and a
 margin). Sampling and k-means run per language in Spark; the driver holds one row per bin and centroid.
 
-The bound of the sample is a parameter (`per_language`), the rows are chosen by a hash of the text.
+The bound of the sample is a parameter (`per_language`): it is drawn by a hash from the different texts of a language, one row each.
 
 Defined cases: a null text or one without a letter is `und` with score 0. Equal cosines go to the language with
 more training rows, then by name. Without any training row every text is `und`. Repeated rows each
@@ -93,7 +93,8 @@ class Model:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Model:
     """Learn from all rows of `docs` with a text and a language; call with the rows that may be learnt from."""
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_distinct("h").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((0, BINS)), np.zeros(0), np.ones(BINS))
     found = dict(rows.select("text").mapInArrow(_frequencies, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n")).collect())
@@ -109,7 +110,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
         return pa.table({"lang": [key[0].as_py()] * len(made), "centre": [c.astype(np.float32).tobytes() for c in made], "floor": floors.astype(float)})
 
     share = F.element_at(F.create_map(*[F.lit(x) for s in sizes for x in (s, min(1.0, per_language / sizes[s]))]), F.col("lang"))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    # Drawn from the different texts of a language, one row each, so that copies neither use up the draw nor swell it.
+    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("lang", "h").agg(F.min("text").alias("text"))
     sample = sample.select("lang", F.arrow_udf(vectors, "binary").asNondeterministic()("text").alias("v"))
     made = sample.groupBy("lang").applyInArrow(centres, "lang string, centre binary, floor double").collect()
     made = sorted(made, key=lambda r: (-sizes[r["lang"]], r["lang"]))

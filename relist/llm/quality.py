@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import pieces, texts_of
+from relist.llm.common import pieces, texts_of, unused
 
 FEATURES = ["upper", "symbol", "mark", "digit", "beyond_ascii", "space", "line_end", "distinct", "repeated", "word_length", "length", "pipe", "bang"]
 CUT = 0.3
@@ -139,7 +139,8 @@ def with_score(docs: DataFrame, ranking: Ranking, text: str = "text", column: st
 
 def drop_refused(docs: DataFrame, ranking: Ranking, text: str = "text") -> DataFrame:
     """The rows of `docs` whose score reaches the threshold, with all their columns."""
-    return with_score(docs, ranking, text, "__score").where(F.col("__score") >= CUT).drop("__score")
+    score = unused(docs, "__score")
+    return with_score(docs, ranking, text, score).where(F.col(score) >= CUT).drop(score)
 
 
 def learnable(doc_id: str = "doc_id", parts: int = 5, held_out: int = 0):

@@ -32,7 +32,7 @@ def op6_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_groups(table(spark, sf_dir, "documents")).drop("text_key")
+    return simhash.near_groups(table(spark, sf_dir, "documents")).drop("text_key", "root")
 
 
 def op8_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,10 +30,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import pieces, texts_of
+from relist.llm.common import one_row_each, pieces, texts_of
 from relist.llm.components import smallest_reachable
 from relist.session import materialize
 
@@ -139,20 +139,36 @@ def near_links(fps: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIST_LIMIT) -> DataFrame:
-    """One row per document: doc_id, text_key, fingerprint (16 hex digits), component_id."""
+    """One row per document: doc_id, text_key, fingerprint (16 hex digits), component_id, root (the component's own key)."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = materialize(with_fingerprint(source, "text", "fp").select("doc_id", F.xxhash64("text").alias("text_key"), "fp"), "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = smallest_reachable(near_links(fps, limit))
     rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    named = rooted.join(smallest, "root").select("fp", "component_id", "root")
     return rows.join(named, "fp").select(
-        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that are the document with the smallest doc_id of their group, with all their columns."""
-    gone = near_groups(docs, doc_id, text).where("not doc_id <=> component_id").select("doc_id", "text_key").distinct()
-    same = docs[doc_id].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs[text].cast("string")) == gone["text_key"])
-    return docs.join(gone, same, "left_anti")
+    """One row of `docs` for each group of near copies, that with the smallest doc_id, with all its columns.
+
+    Of several rows with this doc_id the one with the smallest text key stays; of rows that repeat id and text, or
+    of a group whose rows all have no id, any one.
+    """
+    grouped = materialize(near_groups(docs, doc_id, text), "near-groups")
+    first = grouped.where("doc_id <=> component_id").groupBy("root", "doc_id").agg(F.min("text_key").alias("text_key"), F.count(F.lit(1)).alias("rows"))
+    several = materialize(first.where("rows > 1").select("root", F.col("text_key").alias("first_key")), "repeated-ids")
+    lost = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    marked = grouped.join(several, "root", "left")
+    gone = marked.where(lost | (F.col("text_key") != F.col("first_key"))).select("doc_id", "text_key").distinct()
+
+    def same(rows: DataFrame, keys: DataFrame) -> Column:
+        return rows[doc_id].eqNullSafe(keys["doc_id"]) & F.xxhash64(rows[text].cast("string")).eqNullSafe(keys["text_key"])
+
+    stays = docs.join(gone, same(docs, gone), "left_anti")
+    if several.isEmpty():
+        return stays
+    times = marked.where(~lost & F.col("text_key").eqNullSafe(F.col("first_key"))).select("doc_id", "text_key").distinct()
+    return one_row_each(stays, [stays[doc_id], F.xxhash64(stays[text].cast("string"))], times, same)

@@ -10,9 +10,10 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from relist.llm import langid, licences, pii, quality, queries
+from relist.llm import decontaminate, langid, licences, pii, quality, queries
 from relist.llm.common import pieces
 from relist.session import materialize
 
@@ -252,6 +253,26 @@ def test_pipeline_stage_by_stage(spark):
     assert ids["benchmark_decontamination"] == {i for i, _, n_hit, _ in hits if not n_hit} == ids["sentencepiece_tokens"]
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "some words here", 1.5, 2, "x"), (2, None, None, None, None)], "doc_id bigint, text string, __score double, __Contamination int, _score string")
+    model = quality.fit_ranking(np.zeros((0, len(quality.FEATURES))), np.zeros((0, len(quality.FEATURES))), 0.0)
+    benchmark = spark.createDataFrame([(1, "nothing of it")], "item_id bigint, text string")
+    for kept in (quality.drop_refused(docs, model), decontaminate.drop_contaminated(docs, benchmark)):
+        assert kept.columns == docs.columns
+        assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_a_language_of_copies_keeps_its_centroid(spark):
+    """Eight languages of one text each, copied 2,000 times, and one of many texts: every one is learnt, from one row a text."""
+    words = ["alpha beta", "gamma delta", "один два", "τρία τέσσερα", "fünf sechs", "sept huit", "nove dez", "tien elf"]
+    rows = spark.range(2000).select(F.explode(F.array(*[F.struct(F.lit(f"l{k}").alias("lang"), F.lit(f"{w} " * 9).alias("text")) for k, w in enumerate(words)])).alias("r")).select("r.*")
+    many = spark.range(3000).select(F.lit("many").alias("lang"), F.concat(F.lit("zz yy xx ww "), F.col("id").cast("string")).alias("text"))
+    model = langid.train(rows.unionByName(many), per_language=100)
+    assert set(model.languages) == {*(f"l{k}" for k in range(8)), "many"}
+    found = langid.with_language(rows.distinct(), model, column="found").select("lang", "found.nearest").collect()
+    assert all(r.lang == r.nearest for r in found) and len(found) == 8
+
+
 def test_pipeline_of_no_documents(spark, no_docs, tmp_path):
     for name, rows, schema in (("labels", [], "doc_id bigint, quality int, toxic int"), ("benchmark", [], "item_id bigint, text string")):
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
