@@ -64,7 +64,7 @@ def _save(batch: Batch, tagged: DataFrame, errors: DataFrame, run_ts: datetime |
     """Write what a batch brings to the postings; it is seen when the batch is committed."""
     batch.write(errors, "extract_errors")
     batch.write(other_dates(tagged), "posting_dates")
-    batch.write(changed_postings(tagged, stored, run_ts), "postings")
+    batch.write(changed_postings(tagged, stored, run_ts), "postings", key=tables.POSTING_KEY)
     written = batch.spark.read.schema(tables.POSTING_ROW).parquet(batch.path("postings"))
     validate.assert_unique_key(written, ["posting_id"])
     batch.write(publish.change_rows(tagged), "changes")
@@ -118,10 +118,10 @@ def run_ingest(
         runs = frontier.run_times(index, tables.read_table(spark, root, "page_runs", before=batch_id, log=log))
         index = materialize(index.join(runs, list(frontier.RUN)), "page-index", stage)
         checked = _checked(landed, specs, stage)
-        stored = tables.current_postings(spark, root, before=batch_id, log=log)
         # Within a run pages arrive by number: the time of a listing's arrival is that of its run.
         place = index.groupBy("raw_page_id").agg(F.min("run_at").alias("captured_at"))
         valid = materialize(validate.route_valid(checked).drop("captured_at").join(place, "raw_page_id"), "valid", stage)
+        stored = tables.current_postings(spark, root, before=batch_id, log=log, keys=valid)
 
         def fold(rows: DataFrame) -> DataFrame:
             return episodes.posting_episodes(rows, stored, gap_days, stage=stage)

@@ -18,8 +18,10 @@ from relist import schemas as S
 from relist.operators.reconcile import upsert_postings
 from relist.sinks import commits
 from relist.sinks.commits import Batch, Folder, Log, Part, read_log
-from relist.sources.tables import dedupe_last_by_key
+from relist.sources.tables import dedupe_last_by_key, key_values, of_keys
 
+#: The column that tells the files of the postings apart; source has few values.
+POSTING_KEY = ("url",)
 BATCH = T.StructField("batch_id", T.LongType())
 # Postings as stored: the list of other dates lives in its own table, one row per date,
 # so that a posting seen very often never becomes one huge row.
@@ -56,7 +58,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: Sequence[str] = (), phase: str | None = None) -> None:
     """Write and commit one table of a batch. Running the batch again replaces its rows of that phase."""
     batch = Batch(df.sparkSession, root, batch_id, phase or PHASE_OF.get(table, SAVED))
-    batch.write(df, table, partition_by)
+    batch.write(df, table, partition_by, POSTING_KEY if table == "postings" else ())
     batch.commit()
 
 
@@ -119,19 +121,23 @@ def committed_bases(spark: SparkSession, root: str, log: Log | None = None) -> l
     return sorted(found)
 
 
-def current_postings(spark: SparkSession, root: str, before: int | None = None, log: Log | None = None) -> DataFrame:
+def current_postings(spark: SparkSession, root: str, before: int | None = None, log: Log | None = None, keys: DataFrame | None = None) -> DataFrame:
     """The postings table as of the batches before `before`; `log` fixes the moment.
 
-    The base is only filtered against the ids changed since; it is not regrouped.
+    The base is only filtered against the ids changed since; it is not regrouped. If `keys` (source, url) are few, only
+    their postings are read: their values reach the scans, which pass over files and row groups without them.
     """
+    values = key_values(keys) if keys is not None else None
+    few = (lambda df: of_keys(df, values)) if values is not None else (lambda df: df)
     log = log or read_log(spark, root)
     names = [f.name for f in POSTING_ROW.fields]
     bases = [b for b in committed_bases(spark, root, log) if before is None or b[0] < before]
-    rows = read_table(spark, root, "postings", before=before, after=bases[-1][0] if bases else None, log=log)
+    # All versions of a posting have its key, so they can be left out before the latest is taken.
+    rows = few(read_table(spark, root, "postings", before=before, after=bases[-1][0] if bases else None, log=log))
     latest = dedupe_last_by_key(rows, ["posting_id"], ["batch_id"]).select(*names)
     if not bases:
         return latest
-    base = spark.read.schema(POSTING_ROW).parquet(f"{root}/postings_base/{bases[-1][1]}")
+    base = few(spark.read.schema(POSTING_ROW).parquet(f"{root}/postings_base/{bases[-1][1]}"))
     return upsert_postings(base, latest).select(*names)
 
 
@@ -145,7 +151,7 @@ def compact_postings(spark: SparkSession, root: str, upto: int) -> None:
     while exists(spark, path):
         taken += 1
         path = f"{root}/postings_base/upto={upto}-{taken}"
-    prune_layout(current_postings(spark, root, before=upto + 1, log=log)).write.parquet(path)
+    prune_layout(current_postings(spark, root, before=upto + 1, log=log)).write.options(**commits.bloom_filters(POSTING_KEY)).parquet(path)
     commits.commit(spark, root, [Part(upto, BASE, {"postings_base": [path.rsplit("/", 1)[1]]}, log.number)])
 
 

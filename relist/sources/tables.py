@@ -45,13 +45,35 @@ def scan_postings(spark: SparkSession, path: str, schema: T.StructType = TABLES[
     return spark.read.schema(schema).parquet(path)
 
 
+#: So many keys at most are read to the driver and written into a scan as values, and so many in one IN list: Spark hands
+#: longer lists to Parquet as a range only.
+FEW_KEYS, LISTED = 1000, 10
+
+
+def key_values(keys: DataFrame) -> list[tuple[str | None, str]] | None:
+    """The (source, url) pairs of `keys` if it has at most FEW_KEYS rows, else None. No more rows than that are read."""
+    rows = keys.select(*KEYS).limit(FEW_KEYS + 1).collect()
+    return sorted({tuple(r) for r in rows if None not in r}) if len(rows) <= FEW_KEYS else None
+
+
+def of_keys(df: DataFrame, values: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of these keys; the urls are tested against the statistics and Bloom filters of the files."""
+    urls, sources = sorted({u for _, u in values}), sorted({s for s, _ in values})
+    parts = [F.col("url").isin(*urls[k:k + LISTED]) for k in range(0, len(urls), LISTED)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) & ~1:]
+    return df.where(F.col("source").isin(*sources) & parts[0]) if parts else df.where("false")
+
+
 def lookup_postings_by_key(postings: DataFrame, source: str, urls: DataFrame) -> DataFrame:
     """Postings of one source whose url is among `urls`.
 
-    A plain semi join: a small key list is broadcast by its measured size, a large one
-    is shuffled.
+    A short key list reaches the scan as values, so that files and row groups without them are passed over. Otherwise a
+    plain semi join: a key list is broadcast by its measured size, a large one is shuffled.
     """
-    return postings.where(F.col("source") == source).join(urls.select("url"), "url", "left_semi")
+    ours = postings.where(F.col("source") == source)
+    values = key_values(urls.select(F.lit(source).alias("source"), "url"))
+    return of_keys(ours, values) if values is not None else ours.join(urls.select("url"), "url", "left_semi")
 
 
 def lookup_postings_project(postings: DataFrame, source: str, urls: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from relist.plans import jobs
 from relist.sinks import commits, feed
 from relist.sinks import tables as T
+from relist.sources import tables as sources
 
 RUN, NEXT = "2020-04-01 03:00:00", "2020-04-02 03:00:00"
 SAVED_TABLES = ("postings", "posting_dates", "extract_errors", "changes", "page_runs", "run_stops")
@@ -225,6 +226,34 @@ def test_details_are_kept_from_batch_to_batch(spark, root):
     assert jobs.run_details(spark, root, none, 1, NEXT).count() == 3
 
 
+def rows_scanned(df):
+    """Rows that the scans of a frame hand on when it is collected."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_few_keys_are_read_from_the_files_that_hold_them(spark, root):
+    """A table of 40 files of 500 postings whose urls lie mixed, and a compacted base of it."""
+    wide = spark.range(0, 20_000, 1, 40).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("posting_id"), F.lit("s").alias("source"), F.sha2((F.col("id") * 7).cast("string"), 256).alias("url"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in T.POSTING_ROW.fields if f.name not in ("posting_id", "source", "url")])
+    T.write_batch(wide.select(*T.POSTING_ROW.fieldNames()), root, "postings", 0)
+    urls = wide.where("id % 6000 = 5").select("source", "url")
+    stored = T.read_table(spark, root, "postings")
+    found = sources.lookup_postings_by_key(stored, "s", urls)
+    assert sorted(r.url for r in found.collect()) == sorted(r.url for r in urls.collect())
+    assert len(urls.collect()) == 4
+    assert rows_scanned(found) <= 4 * 500 < 20_000 == rows_scanned(stored)
+    assert T.current_postings(spark, root, keys=urls).count() == 4
+    T.compact_postings(spark, root, 0)
+    assert T.current_postings(spark, root, keys=urls).count() == 4
+    assert T.current_postings(spark, root, keys=urls.where("false")).count() == 0
+    assert T.current_postings(spark, root, keys=wide).count() == 20_000
+    assert sources.lookup_postings_by_key(stored, "s", wide).count() == 20_000
+    assert sources.lookup_postings_by_key(stored, "t", urls).count() == 0
+
+
 def test_folders_of_tries_that_failed_can_be_found(spark, root):
     T.Batch(spark, root, 0, T.SAVED).write(spark.createDataFrame([], T.POSTING_ROW), "postings")
     jobs.run_ingest(spark, root, html_raw(spark, html_cards(1)), 0, RUN)
