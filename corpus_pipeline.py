@@ -1,8 +1,8 @@
 """The corpus pipeline: quality, exact copies, near copies, benchmark passages, then tokens.
 
 Each stage reads what the one before has written and calls one operator of relist.llm; all but the last
-return the columns of its documents. A document is known by its doc_id and text: rows that repeat both
-share one fate, rows that repeat a doc_id with another text are judged apart.
+return the columns of its documents. The filters judge every row by its text alone;
+the dedup stages leave one row of each group, that with the smallest doc_id, whether ids repeat or are missing.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ def quality_ranking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest doc_id stays."""
+    """Of equal texts the document with the smallest doc_id stays; null counts as empty."""
     return exact.drop_exact_copies(docs)
 
 

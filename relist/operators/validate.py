@@ -2,13 +2,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relist import schemas as S
 from relist.functions.arrays import array_all_empty
 from relist.functions.strings import hex_id
+from relist.sources.tables import lookup_postings_by_key
 
 
 def required_fields(checks: Sequence[tuple[Column, Column | str]]) -> Column:
@@ -70,4 +71,13 @@ def assert_unique_key(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate key {found[0].asDict()}")
 
 
-bounded_lookup = duplicate_keys
+def bounded_lookup(postings: DataFrame, source: str, urls: DataFrame) -> DataFrame:
+    """Postings of one source whose url is among `urls`, at most one for each.
+
+    The bound is checked, not cut: a key with several postings fails the read, as dropping one of them would hide that the
+    table is not unique.
+    """
+    found = lookup_postings_by_key(postings, source, urls)
+    times = F.count(F.lit(1)).over(Window.partitionBy(*S.KEYS))
+    several = F.raise_error(F.concat(F.lit("Several postings of one key: "), F.coalesce("url", F.lit("null")))).cast("boolean")
+    return found.withColumn("_times", times).where(F.when(F.col("_times") == 1, F.lit(True)).otherwise(several)).drop("_times")

@@ -7,7 +7,7 @@ from pyspark.sql import types as t
 
 from relist import schemas as S
 from relist.operators.reconcile import stamp_technical_fields
-from relist.operators.validate import duplicate_keys, partition_split
+from relist.operators.validate import bounded_lookup, duplicate_keys, partition_split
 from relist.functions.dates import same_local_date
 from relist.session import scratch_path
 from relist.sources import pages as P
@@ -198,9 +198,19 @@ def unique_key(spark, sf):
     return duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("bounded_lookup", """
+@query("bounded_lookup", f"""
+WITH {LOOKUP_URLS},
+latest AS (SELECT * FROM postings QUALIFY row_number() OVER (PARTITION BY source, url ORDER BY posting_date DESC, posting_id DESC) = 1)
+SELECT posting_id, url, title FROM latest WHERE source = '1-URGENT' AND url IN (SELECT url FROM urls)""")
+def bounded(spark, sf):
+    """One posting for each key at most; the check fails the read otherwise."""
+    found = bounded_lookup(T.latest_postings(order_postings(spark, sf)), "1-URGENT", _finished_customers(spark, sf))
+    return found.select("posting_id", "url", "title")
+
+
+@query("duplicate_keys", """
 SELECT text, count(*) AS n_rows FROM documents GROUP BY text HAVING count(*) > 1""")
-def bounded_lookup(spark, sf):
+def duplicates(spark, sf):
     return duplicate_keys(table(spark, sf, "documents"), ["text"])
 
 

@@ -6,6 +6,7 @@ import pytest
 from pages import hit, html_cards, html_raw, json_page, json_raw
 from pyspark.sql import functions as F
 
+from relist.operators import validate
 from relist.plans import jobs
 from relist.sinks import commits, feed
 from relist.sinks import tables as T
@@ -254,6 +255,14 @@ def test_a_few_keys_are_read_from_the_files_that_hold_them(spark, root):
     assert sources.lookup_postings_by_key(stored, "t", urls).count() == 0
 
 
+def test_a_lookup_checks_its_bound(spark):
+    postings = spark.createDataFrame([("1", "s", "u"), ("2", "s", "v"), ("3", "t", "u"), ("4", "s", "w"), ("5", "s", "w")], "posting_id string, source string, url string")
+    urls = spark.createDataFrame([("u",), ("v",), ("u",), ("x",)], "url string")
+    assert sorted(r.posting_id for r in validate.bounded_lookup(postings, "s", urls).collect()) == ["1", "2"]
+    with pytest.raises(Exception, match="Several postings of one key: w"):
+        validate.bounded_lookup(postings, "s", spark.createDataFrame([("w",)], "url string")).collect()
+
+
 def test_folders_of_tries_that_failed_can_be_found(spark, root):
     T.Batch(spark, root, 0, T.SAVED).write(spark.createDataFrame([], T.POSTING_ROW), "postings")
     jobs.run_ingest(spark, root, html_raw(spark, html_cards(1)), 0, RUN)
