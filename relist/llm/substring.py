@@ -12,8 +12,9 @@ their hashes are counted, and windows that occur under several surroundings are
 Overlapping repeats are united to maximal runs.
 
 Nothing is paired: a passage shared by a third of all documents is a count per map task, then one row.
-Equality is by 128 bits: hashes of the gram and the surroundings, or two hashes of the window. A row is known by a
-64-bit hash of its id and text.
+Equality is by 128 bits: hashes of the gram and the surroundings, or two hashes of the window. The two are made of different
+halves of a BLAKE2b hash of each word, so no two words that anyone can find are taken for equal. A row is known by a 64-bit hash
+of its id and text.
 
 Memory is bounded by one text; a text is read in one numpy pass if longer than the slices.
 
@@ -24,13 +25,15 @@ of its own, so rows that repeat a doc_id with the same text are repeats of each
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.common import SLICE_BYTES, Powers, gram_hashes, pieces, powers, runs_to_mask, slices, texts_of, window_minima, word_hashes
+from relist.llm.common import SLICE_BYTES, Powers, gram_hashes, pieces, powers, runs_to_mask, slices, texts_of, window_minima
 from relist.session import materialize
 
 WINDOW, GRAM = 35, 12
@@ -40,21 +43,31 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """Two 64-bit halves of a BLAKE2b hash of every word, a row each; each different word is hashed once."""
+    numbers: dict[bytes, int] = {}
+    index = np.fromiter(map(numbers.setdefault, words, count()), np.int64, len(words))
+    places = np.fromiter(numbers.values(), np.int64, len(numbers))
+    halves = np.frombuffer(b"".join([blake2b(w, digest_size=16).digest() for w in numbers]), np.uint64).reshape(-1, 2)
+    return halves[np.searchsorted(places, index)]
+
+
 class Words:
-    """The words of several texts: their places, hashes and texts."""
+    """The words of several texts: their places, hashes (two independent ones) and texts."""
 
-    def __init__(self, texts: list[bytes], table: Powers):
+    def __init__(self, texts: list[bytes]):
         starts, ends, hashes, before = [], [], [], 0
         for part in pieces(b" ".join(texts), 4 * SLICE_BYTES):
             buf = np.frombuffer(part, np.uint8)
             inside = np.zeros(len(buf) + 2, np.int8)
             inside[1:-1] = ~_SPACES[buf]
             edges = np.flatnonzero(np.diff(inside))
-            hashes.append(word_hashes(buf, edges[::2], edges[1::2], table))
+            hashes.append(word_keys(part.split()))
             starts.append(edges[::2] + before)
             ends.append(edges[1::2] + before)
             before += len(part)
-        self.starts, self.ends, self.hashes = np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
+        self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
+        self.hashes, self.other = (np.ascontiguousarray(h) for h in np.concatenate(hashes).T)
         offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.owner = np.searchsorted(offsets, self.starts, side="right") - 1
         self.counts = np.bincount(self.owner, minlength=len(texts))
@@ -82,13 +95,14 @@ class Anchors:
         low, high = w.first[w.owner[self.at]], w.first[w.owner[self.at] + 1]
         start, end = np.maximum(self.at - SIDE, low), np.minimum(self.at + GRAM + SIDE, high)
         cut = (self.at - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return gram_hashes(w.hashes, start, end, self.tables[2]) ^ cut
+        return gram_hashes(w.other, start, end, self.tables[2]) ^ cut
 
     def listed(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The windows of these anchors: starts and two hashes."""
         chosen = np.isin(self.anchor, anchors)
         begin = self.begin[chosen]
-        return begin, *(gram_hashes(self.words.hashes, begin, begin + WINDOW, t) for t in self.tables[1:])
+        pairs = zip((self.words.hashes, self.words.other), self.tables[1:])
+        return begin, *(gram_hashes(h, begin, begin + WINDOW, t) for h, t in pairs)
 
 
 def _tables() -> list[Powers]:
@@ -105,7 +119,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column(0).to_numpy()
         for start, end in slices(batch.column(1)):
-            words = Words(texts_of(batch.column(1), start, end), tables[0])
+            words = Words(texts_of(batch.column(1), start, end))
             a = Anchors(words, tables)
             owner = words.owner[a.at]
             yield pa.RecordBatch.from_arrays(
@@ -119,7 +133,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column(0).to_numpy()
         for start, end in slices(batch.column(1)):
-            words = Words(texts_of(batch.column(1), start, end), tables[0])
+            words = Words(texts_of(batch.column(1), start, end))
             wanted = batch.column(2).slice(start, end - start)
             sizes = np.diff(wanted.offsets.to_numpy())
             flat = wanted.flatten().to_numpy(zero_copy_only=False)
@@ -130,7 +144,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept_parts(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    words = Words([text], powers(0))
+    words = Words([text])
     n = len(words.hashes)
     edges = np.array(spans, np.int64).reshape(-1, 2).clip(0, n)
     return n, words.starts, words.ends, runs_to_mask(n, edges[:, 0], edges[:, 1])

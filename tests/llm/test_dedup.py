@@ -203,3 +203,14 @@ def test_window_minima():
         expected = [k + width - 1 - int(np.argmin(x[k:k + width][::-1])) for k in range(len(x) - width + 1)]
         assert window_minima(x, width).tolist() == expected
         assert not len(window_minima(x[:width - 1], width))
+
+
+def test_words_made_to_collide_are_different_words(spark):
+    """Two words of 1,024 letters whose sums of letters times powers of any odd number agree modulo 2^64 (as the signs alternate
+    like the bits of a number are odd or even) in the middle of two else equal documents."""
+    signs = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = ("".join("ab"[s ^ flip] for s in signs) for flip in (0, 1))
+    rows = [(k, " ".join([f"w{j}" for j in range(17)] + [word] + [f"w{j}" for j in range(18, 35)])) for k, word in enumerate((one, two))]
+    done = substring.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r.n_removed for r in done.collect()] == [0, 0]
+    assert len(np.unique(substring.word_keys([one.encode(), two.encode(), one.encode()]), axis=0)) == 2
