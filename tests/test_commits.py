@@ -47,10 +47,10 @@ def crash_at(monkeypatch, step):
     when, what = step.split(" ")
     write, commit = commits.Batch.write, commits.commit
 
-    def failing_write(self, df, table, *more):
+    def failing_write(self, df, table, *more, **named):
         if when == "before" and what == table:
             raise Crash(step)
-        write(self, df, table, *more)
+        write(self, df, table, *more, **named)
         if when == "behind" and what == table:
             raise Crash(step)
 
