@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,29 @@ def stream_raw_pages(spark: SparkSession, path: str, files_per_batch: int = 1000
     return reader.parquet(path)
 
 
+def stream_paced_pages(spark: SparkSession, path: str, paces: Mapping[str, int],
+                       schema: T.StructType = RAW_PAGE) -> DataFrame:
+    """Landed pages of several sources as one stream in which each source has a pace of its own.
+
+    `path` holds a folder `source=<name>` per source, as a write partitioned by source leaves it; `paces` names the
+    sources and the files a micro-batch takes of each. Every batch takes from all of them, so a source with a backlog
+    does not hold up the others, and a source whose folder is not there yet is waited for. Folders of sources
+    without a pace are not read.
+    """
+    if not paces or min(paces.values()) < 1:
+        raise ValueError("paces needs a source, and at least one file a batch for each")
+    names = schema.fieldNames()
+    rest = T.StructType([f for f in schema.fields if f.name != "source"])
+
+    def one(name: str, files: int) -> DataFrame:
+        # The last letter as a class: a pattern may match nothing yet, a plain path must exist.
+        folder = f"{path}/source={name[:-1]}[{name[-1]}]"
+        pages = spark.readStream.schema(rest).option("maxFilesPerTrigger", files).parquet(folder)
+        return pages.withColumn("source", F.lit(name)).select(*names)
+
+    return reduce(DataFrame.unionByName, [one(name, files) for name, files in paces.items()])
+
+
 def check_source_domain(df: DataFrame, domain: Sequence[str] = SOURCES) -> DataFrame:
     """Fail the query on a source outside the domain."""
     known = F.col("source").isin(*domain)
