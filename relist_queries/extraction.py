@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from relist import schemas as S
 from relist.operators import extract_html as H
 from relist.operators import extract_json as J
+from relist.operators import parsers
 from relist.operators import registry as R
 from relist.operators import validate as V
 from relist_queries.base import query, table
@@ -213,6 +214,46 @@ def source_spec(spark, sf):
     return flat(R.extract_pages(pages, specs).select("source", "url", "page"))
 
 
+def _feed_pages(spark, sf):
+    """One page per customer, a line per order; where the order key is a multiple of 13 the line is cut short."""
+    key = F.col("o_orderkey").cast("string")
+    line = F.when(F.col("o_orderkey") % 13 == 0, key).otherwise(F.concat_ws(
+        ";", F.concat(F.lit("/o/"), key), F.concat(F.lit(" "), "o_orderpriority"),
+        F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat("o_orderstatus", F.lit(", x,x"))),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.concat(F.lit("c"), F.col("o_custkey").cast("string"))))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"])
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_join(lines, "\n").alias("content")).select(
+        F.col("o_custkey").cast("string").alias("raw_page_id"), F.col("o_custkey").cast("int").alias("page"), F.lit("Feed").alias("source"),
+        "content", F.lit("2024-01-01").cast("timestamp").alias("captured_at"))
+
+
+@query("extractor_table_function", """
+WITH lines AS (SELECT *, row_number() OVER w - 1 AS ordinal,
+                      coalesce(bool_or(o_orderkey % 13 = 0) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS behind
+               FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
+SELECT o_custkey AS page, ordinal, CASE WHEN ok THEN 'https://feed.example.com/o/' || o_orderkey END AS url, CASE WHEN ok THEN o_orderpriority END AS title,
+       CASE WHEN ok AND o_orderstatus <> 'F' THEN o_orderstatus || '|x' END AS tags, CASE WHEN ok THEN epoch_ms(o_orderdate) END AS posting_date,
+       CASE WHEN ok THEN 'c' || o_custkey END AS company,
+       concat_ws('|', CASE WHEN NOT ok THEN 'unreadable' END,
+                 CASE WHEN ok AND o_orderstatus = 'F' THEN 'Missing tags' END) AS errors
+FROM (SELECT *, o_orderkey % 13 <> 0 AS ok FROM lines WHERE NOT behind)""")
+def extractor_table_function(spark, sf):
+    """A third source: its parser is a table function, its pages go through extraction and the checks like all others."""
+    def feed(content):
+        """Listings of a feed page: a line each, its parts behind semicolons; an empty part is missing."""
+        for line in content.split("\n"):
+            path, title, tags, date, company = (x or None for x in line.split(";"))
+            yield {"url": path, "title": title, "tags": tags and tags.split(","), "posting_date": date, "company": company, "locations": ["C"],
+                   "raw_fragment": line}
+
+    spark.udtf.register("parse_feed", parsers.table_parser(feed))
+    base = "https://feed.example.com"
+    specs = {"Feed": S.SourceSpec("Feed", base, "text", parsers.table_extractor("parse_feed", base))}
+    rows = V.required_fields_check(R.extract_pages(_feed_pages(spark, sf), specs))
+    errors = F.when(F.col("page_error").isNotNull(), F.array(F.lit("unreadable"))).otherwise(F.col("errors"))
+    return flat(rows.select("page", "ordinal", "url", "title", "tags", "posting_date", "company", errors.alias("errors")))
+
+
 @query("build_record", """
 SELECT doc_id, array_to_string([x FOR x IN [CASE WHEN quality IS NULL THEN 'Missing quality' END,
        CASE WHEN lang <> 'en' THEN 'Not English: ' || lang END, CASE WHEN n_chars < 100 THEN 'Too short' END] IF x IS NOT NULL], '|') AS errors

@@ -8,10 +8,12 @@ from pathlib import Path
 
 import pytest
 from pages import CAPTURED, card, hit, html_cards, html_page, html_raw, json_page, json_raw, raw_pages
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from relist.operators import extract_html as H
 from relist.operators import extract_json as J
+from relist.operators import parsers
 from relist.operators import registry as R
 from relist.operators import validate as V
 from relist.operators.html_elements import Page, compile_path
@@ -200,6 +202,7 @@ import sys
 sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
 from relist import build_session
 from relist.operators.extract_html import html_select_all
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 spark = build_session("away", "local[1]")
 print("found", spark.createDataFrame([("<p id=x>a<p>b",)], ["h"]).select(html_select_all(F.col("h"), "p").alias("p")).first().p)
@@ -215,3 +218,39 @@ def test_stray_quotes_do_not_swallow_cards(spark, attributes):
     page = f"<div id=search-results><div id=jobs><div class=job {attributes}>a</div><div class=job>b, it's</div><div class='job'>c</div></div></div>"
     rows = spark.createDataFrame([(page,)], "content string").select(H.html_select_all(F.col("content"), CARD_PATH).alias("t"))
     assert rows.first().t == ["a", "b, it's", "c"]
+
+
+@pytest.fixture()
+def pairs():
+    def parse(content):
+        for k, part in enumerate(content.split(" ")):
+            if part == "fail":
+                raise KeyError(part)
+            yield {"title": part, "tags": [part, 1], "company": k, "raw_fragment": part}
+
+    return parsers.table_parser(parse)
+
+
+def test_parser_as_a_table_function(spark, pairs):
+    """Fields as asked for, strictly typed; a failing page keeps what was found before; null texts give nothing."""
+    spark.udtf.register("parse_pairs", pairs)
+    pages = spark.createDataFrame([(1, "a b"), (2, "c fail d"), (3, None), (4, "")], "page int, content string")
+    rows = spark.sql("SELECT page, l.* FROM {p}, LATERAL parse_pairs(content, 'title, company, tags[]') l ORDER BY page, ordinal", p=pages)
+    assert rows.columns == ["page", "ordinal", "title", "company", "tags", "raw_fragment", "page_error"]
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, 0, "a", None, ["a", None], "a", None), (1, 1, "b", None, ["b", None], "b", None),
+        (2, 0, "c", None, ["c", None], "c", None), (2, 1, None, None, None, "", "Cannot parse page: KeyError: 'fail'"),
+        (4, 0, "", None, ["", None], "", None)]
+    assert spark.sql("SELECT * FROM parse_pairs('x', 'title')").columns == ["ordinal", "title", "raw_fragment", "page_error"]
+
+
+@pytest.mark.parametrize("call", ["parse_pairs('x', '')", "parse_pairs(1, 'title')", "parse_pairs('x', NULL)"])
+def test_arguments_of_a_parser_are_checked(spark, pairs, call):
+    spark.udtf.register("parse_pairs", pairs)
+    with pytest.raises(AnalysisException):
+        spark.sql(f"SELECT * FROM {call}").collect()
+
+
+def test_names_of_table_functions_are_checked():
+    with pytest.raises(ValueError):
+        parsers.table_extractor("f(x); --", "https://a")
