@@ -425,6 +425,26 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     return short.union(_encode_long(rows.where(F.length("text") > chunk), sent, chunk))
 
 
+def cut_chunks(seen: Column, chunk: int, reach: int) -> Column:
+    """array<struct<left, body, right>>: chunks of `chunk` characters, each with the `reach` characters around it.
+
+    One match after the other cuts the text, so the work is linear in its length; the sides come from the neighbouring chunks alone.
+    """
+    bodies = F.regexp_extract_all(seen, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    near = -(-reach // chunk)
+
+    def around(all_: Column) -> Column:
+        def at(i: Column) -> Column:
+            return F.when((i >= 0) & (i < F.size(all_)), F.get(all_, i)).otherwise("")
+
+        return F.transform(all_, lambda body, i: F.struct(
+            F.right(F.concat(*[at(i - d) for d in range(near, 0, -1)]), F.lit(reach)).alias("left"), body.alias("body"),
+            F.left(F.concat(*[at(i + d) for d in range(1, near + 1)]), F.lit(reach)).alias("right")))
+
+    # Bound once by a transform over one element, so that the text is not cut again for each use.
+    return F.flatten(F.transform(F.array(bodies), around))
+
+
 def _encode_long(rows: DataFrame, sent, chunk: int) -> DataFrame:
     reach = sent.value.longest
 
@@ -436,13 +456,8 @@ def _encode_long(rows: DataFrame, sent, chunk: int) -> DataFrame:
         return _id_lists(Chunk(sent.value, a, b, c).ids(i, j) for a, b, c, i, j in texts)
 
     seen = F.concat(F.lit(SPACE), F.replace("text", F.lit(" "), F.lit(SPACE)))
-    cut = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", seen.alias("seen"))
-    first = F.col("k") * chunk
-    parts = cut.select("row", "doc_id", "seen", F.explode(F.sequence(F.lit(0), F.floor((F.length("seen") - 1) / chunk).cast("int"))).alias("k")).select(
-        "row", "doc_id", "k",
-        F.expr(f"substring(seen, greatest(k * {chunk} - {reach}, 0) + 1, least(k * {chunk}, {reach}))").alias("left"),
-        F.substring("seen", first + 1, F.lit(chunk)).alias("body"),
-        F.substring("seen", first + chunk + 1, F.lit(reach)).alias("right"))
+    parts = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", cut_chunks(seen, chunk, reach).alias("parts")).select(
+        "row", "doc_id", F.posexplode("parts").alias("k", "p")).select("row", "doc_id", "k", "p.*")
     parts = materialize(parts.repartition(F.col("row"), F.col("k")), "chunks")
     sides = [F.col(c) for c in ("left", "body", "right")]
     matrices = materialize(parts.select("row", "k", F.arrow_udf(matrix, "array<array<double>>").asNondeterministic()(*sides).alias("m")), "matrices")
