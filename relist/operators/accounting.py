@@ -34,6 +34,10 @@ def page_outcome_counts(tagged: DataFrame, errors: DataFrame, by: str = "raw_pag
         by, *[F.coalesce(c, zero).alias(c) for c in ("n_new", "n_existing", "n_errors")])
 
 
+#: Updated, inserted and failed listings of a run.
+TOTALS = ("n_updated", "n_inserted", "n_errors")
+
+
 def replay_totals(page_counts: DataFrame) -> DataFrame:
     """Updated, inserted and failed listings over all pages."""
     def total(c):

@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from relist import schemas as S
@@ -60,14 +60,22 @@ def _checked(landed: DataFrame, specs: Mapping[str, S.SourceSpec], stage: str) -
     return materialize(validate.required_fields_check(registry.extract_pages(landed, specs)), "extracted", stage)
 
 
-def _save(batch: Batch, tagged: DataFrame, errors: DataFrame, run_ts: datetime | str, stored: DataFrame) -> None:
-    """Write what a batch brings to the postings; it is seen when the batch is committed."""
-    batch.write(errors, "extract_errors")
+def _save(batch: Batch, tagged: DataFrame, errors: DataFrame, run_ts: datetime | str, stored: DataFrame) -> DataFrame:
+    """Write what a batch brings to the postings; it is seen when the batch is committed.
+
+    Returns the totals, as `replay_totals` gives them. They are counted while errors and changes are written: the counts stand behind
+    the last shuffle of these writes, where a task that is run again does not count twice.
+    """
+    failed, changed = Observation(), Observation()
+    batch.write(errors.observe(failed, F.count(F.lit(1)).alias("n_errors")), "extract_errors")
     batch.write(other_dates(tagged), "posting_dates")
     batch.write(changed_postings(tagged, stored, run_ts), "postings", key=tables.POSTING_KEY)
     written = batch.spark.read.schema(tables.POSTING_ROW).parquet(batch.path("postings"))
     validate.assert_unique_key(written, ["posting_id"])
-    batch.write(publish.change_rows(tagged), "changes")
+    batch.write(publish.change_rows(tagged).observe(
+        changed, F.count_if(~F.col("opened")).alias("n_updated"), F.count_if("opened").alias("n_inserted")), "changes")
+    seen = {**failed.get, **changed.get}
+    return batch.spark.createDataFrame([tuple(seen.get(c, 0) for c in accounting.TOTALS)], ", ".join(f"{c} bigint" for c in accounting.TOTALS))
 
 
 def _land(spark: SparkSession, root: str, batch_id: int, offered: DataFrame, specs: Mapping[str, S.SourceSpec],
@@ -132,7 +140,7 @@ def run_ingest(
         errors = validate.route_errors(checked.join(done.select("raw_page_id"), "raw_page_id", "left_semi"))
 
         batch = Batch(spark, root, batch_id, tables.SAVED)
-        _save(batch, tagged, errors, run_ts, stored)
+        totals = _save(batch, tagged, errors, run_ts, stored)
         batch.write(marked.select(*S.PAGE_RUN.fieldNames()), "page_runs")
         batch.write(stops.select(*frontier.RUN, "stop_page"), "run_stops")
         batch.write(accounting.close_run_page(marked, accounting.run_page_ids(tagged, errors), run_ts, end_ts or _ended(run_ts)), "run_page_events")
@@ -140,8 +148,7 @@ def run_ingest(
         feed.publish_changes(spark, root)
         if with_details:
             run_details(spark, root, detail_pages, batch_id, run_ts, sources or sorted(specs))
-        counts = accounting.page_outcome_counts(tagged, errors)
-        return RunResult(done, tagged, errors, accounting.replay_totals(counts), stage)
+        return RunResult(done, tagged, errors, totals, stage)
     except BaseException:
         release(spark, stage)
         raise
@@ -150,7 +157,9 @@ def run_ingest(
 def _ended(run_ts: datetime | str) -> datetime:
     """When the run ends: now, by the clock of the driver, but not before it began."""
     began = datetime.fromisoformat(run_ts) if isinstance(run_ts, str) else run_ts
-    return max(datetime.now(timezone.utc).replace(tzinfo=None), began.replace(tzinfo=None))
+    if began.tzinfo:
+        began = began.astimezone(timezone.utc).replace(tzinfo=None)
+    return max(datetime.now(timezone.utc).replace(tzinfo=None), began)
 
 
 def run_replay(
@@ -173,11 +182,10 @@ def run_replay(
         tagged = materialize(episodes.posting_episodes(validate.route_valid(checked), stored, gap_days, stage=stage), "tagged", stage)
         errors = validate.route_errors(checked)
         batch = Batch(spark, root, batch_id, tables.SAVED)
-        _save(batch, tagged, errors, run_ts, stored)
+        totals = _save(batch, tagged, errors, run_ts, stored)
         batch.commit(based_on=log.number, guard=("postings",))
         feed.publish_changes(spark, root)
-        counts = accounting.page_outcome_counts(tagged, errors)
-        return RunResult(landed.drop("content"), tagged, errors, accounting.replay_totals(counts), stage)
+        return RunResult(landed.drop("content"), tagged, errors, totals, stage)
     except BaseException:
         release(spark, stage)
         raise

@@ -174,7 +174,11 @@ def test_stream_equals_batch_equals_replay(spark, tmp_path):
         pages.where(F.col("page") == i).coalesce(1).write.mode("append").parquet(incoming)
     roots = {k: str(tmp_path / k) for k in ("stream", "batch", "replay")}
     stream = P.stream_raw_pages(spark, incoming, files_per_batch=1)
-    stream_ingest(stream, roots["stream"], str(tmp_path / "checkpoint"), clock=lambda b: RUN).awaitTermination()
+    reported = []
+    stream_ingest(stream, roots["stream"], str(tmp_path / "checkpoint"), clock=lambda b: RUN,
+                  report=lambda b, totals: reported.append((b, totals.n_inserted, totals.n_errors))).awaitTermination()
+    assert [b for b, _, _ in reported] == [0, 1, 2, 3]
+    assert sum(n for _, n, _ in reported) == 7
     jobs.run_ingest(spark, roots["batch"], pages, 0, RUN)
     T.append_raw_page(pages, roots["replay"], 0)
     jobs.run_replay(spark, roots["replay"], JSON_SOURCE, 1, RUN)
@@ -349,3 +353,13 @@ def test_scan_prunes_and_pushes_down(spark, root):
     assert "source#" in plan.split("PartitionFilters")[1] and "capture_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(captured_at" in plan
     assert "content" not in plan.split("ReadSchema")[1]
+
+
+def test_totals_are_counted_while_writing(spark, root):
+    """They equal the grouped counts, also of a batch without listings, and reading them starts no job over the stage tables."""
+    for batch, pages in enumerate((json_pages(spark, (1, 0), (2, 1), (2, 2)), json_pages(spark, (1, 24 * 60)), json_pages(spark, (1, 0)).where("false"))):
+        result = jobs.run_ingest(spark, root, pages, batch, RUN)
+        counted = A.replay_totals(A.page_outcome_counts(result.tagged, result.errors)).first()
+        result.release()
+        assert result.totals.columns == list(A.TOTALS)
+        assert result.totals.first() == counted
