@@ -6,11 +6,17 @@ valid values of their format, the number is permuted by a balanced Feistel netwo
 the same format: separators, lengths and letter cases stay, check digits are made anew. The permutation
 depends on key, kind and size only, so equal values have equal pseudonyms in all documents, different
 values different ones, and whoever holds the key can take them back. Dates are numbered by day, so one day
-written in several formats stays one day.
+written in several formats stays one day. Days are permuted among those that look the same (day below 10, from 10 to 12, above; month below 10
+or not; 1,800 days at least): a date with slashes or hyphens that has only one reading keeps it, and one without leading zeros
+comes back as it was. Where both readings are possible, slashes mean month first and hyphens day first.
 
 Kinds: card, iban, ssn, phone, ip, date, email (the part before the @), secret (hexadecimal keys). Numbers that
 fail their check are left as they are; shorter forms of them and what starts at their later words are tried then. Phone numbers are
-numbered by the digits behind the country code, so one number written in several forms stays one number.
+numbered by the digits behind the country code, so one number written in several forms stays one number; national forms are those of
+ten digits, (ddd) ddd-dddd and ddd-ddd-dddd. IPv6 addresses are those of the unicast ranges, written in the compressed form. An IBAN in small letters
+must have the length of its country.
+
+A month of three letters that becomes May comes back with its whole name.
 
 Defined cases: null stays null; texts without a find are returned unchanged, byte by byte; finds
 do not overlap, the one that starts first (then the earlier kind in the list of patterns) wins. Each row has a result of
@@ -22,7 +28,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import cache
 from hashlib import blake2b
+from ipaddress import AddressValueError, IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +41,9 @@ FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
 _RUN = re.compile(r"[+0-9][0-9 ().\-/]{5,}[0-9]")
 _NUMBER_FORMS = (
-    r"(?:(?P<ymd>[0-9]{4}-[0-9]{2}-[0-9]{2})|(?P<dmy>[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})|(?P<mdy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})"
+    r"(?:(?P<ymd>[0-9]{4}(?P<ymd_mark>[-/])[0-9]{2}(?P=ymd_mark)[0-9]{2})|(?P<dmy>[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})|(?P<mdy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+    r"|(?P<dmy_hyphen>[0-9]{1,2}-[0-9]{1,2}-[0-9]{4})"
+    r"|(?P<ssn>[0-9]{3}(?P<ssn_mark>[- ])[0-9]{2}(?P=ssn_mark)[0-9]{4})|(?P<national>[0-9]{3}(?:\) ?|-)[0-9]{3}-[0-9]{4})|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})"
     r"|(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{0,2}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})){2,4})"
     r"|(?P<card>[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}))(?![0-9A-Za-z_])")
 _NUMBER = re.compile(r"(?<![\w.+-])" + _NUMBER_FORMS)
@@ -49,6 +58,15 @@ _IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
     "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 "
     "PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
+_SMALL_IBAN = re.compile(r"(?<![0-9A-Za-z])[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?(?![0-9A-Za-z])")
+_IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{3,4}:(?:[0-9A-Fa-f]{0,4}:){1,7}(?:[0-9A-Fa-f]{1,4})?(?![\w:])")
+#: Unicast ranges of IPv6: the value of their leading bits and how many these are.
+_UNICAST = ((0b001, 3), (0b1111110, 7), (0b1111111010, 10))
+_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+_MONTH = "(?P<m>" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS) + ")"
+_MONTH_DATES = (
+    re.compile(r"(?<![\w.,/-])(?P<d>[0-9]{1,2}) " + _MONTH + r" (?P<y>[0-9]{4})(?![\w/-])"),
+    re.compile(r"(?<!\w)" + _MONTH + r" (?P<d>[0-9]{1,2}),? (?P<y>[0-9]{4})(?![\w/-])"))
 _EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _SECRET = re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]{32})[0-9a-fA-F]{32,128}(?![0-9A-Za-z])")
 
@@ -138,14 +156,14 @@ def _card(found: str, mapped: Map) -> str | None:
 
 
 def _ssn(found: str, mapped: Map) -> str | None:
-    area, group, serial = (int(x) for x in found.split("-"))
+    area, group, serial = (int(x) for x in re.split("[- ]", found))
     if area in (0, 666) or area >= 900 or not group or not serial:
         return None
     value = mapped("ssn", 898 * 99 * 9999, ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1)
     rest, serial = divmod(value, 9999)
     area, group = divmod(rest, 99)
     area += 1 + (area >= 665)
-    return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
+    return _refill(found, f"{area:03d}{group + 1:02d}{serial + 1:04d}")
 
 
 def _ip(found: str, mapped: Map) -> str | None:
@@ -165,23 +183,87 @@ def _phone(found: str, mapped: Map) -> str | None:
     return code + _refill(rest, _mixed("phone", own, mapped)) if len(digits) >= 7 and 4 <= len(own) <= 14 else None
 
 
-def _day(order: str, mark: str) -> Callable[[str, Map], str | None]:
+def _ipv6(found: str, mapped: Map) -> str | None:
+    try:
+        value = int(IPv6Address(found))
+    except AddressValueError:
+        return None
+    for lead, bits in _UNICAST:
+        size = 1 << 128 - bits
+        if value // size == lead:
+            new = str(IPv6Address(lead * size + mapped(f"ipv6/{bits}", size, value % size)))
+            return new.upper() if any(c.isupper() for c in found) else new
+    return None
+
+
+def _national(found: str, mapped: Map) -> str:
+    return _refill(found, _mixed("phone", re.sub(r"\D", "", found), mapped))
+
+
+def _look(day: date) -> tuple[bool, bool, bool]:
+    """What shows in the written forms of a day: parts of one digit, and whether the day can be taken for a month."""
+    return day.day < 10, day.day > 12, day.month < 10
+
+
+@cache
+def _days() -> tuple[dict[tuple, list[date]], dict[date, int]]:
+    """All days by their look, and the place of each among those of its look."""
+    by_look, place = {}, {}
+    for k in range((LAST_DAY - FIRST_DAY).days + 1):
+        day = FIRST_DAY + timedelta(k)
+        same = by_look.setdefault(_look(day), [])
+        place[day] = len(same)
+        same.append(day)
+    return by_look, place
+
+
+def _other_day(day: date, mapped: Map) -> date:
+    """The pseudonym of a day, one that looks the same."""
+    (by_look, place), look = _days(), _look(day)
+    return by_look[look][mapped("date/%d%d%d" % look, len(by_look[look]), place[day])]
+
+
+def _day_of(year: int, month: int, day: int) -> date | None:
+    try:
+        found = date(year, month, day)
+    except ValueError:
+        return None
+    return found if FIRST_DAY <= found <= LAST_DAY else None
+
+
+def _day(*orders: str) -> Callable[[str, Map], str | None]:
+    """A date in the first of `orders` in which it is one."""
     def change(found: str, mapped: Map) -> str | None:
-        parts = dict(zip(order, found.split(mark)))
-        try:
-            day = date(int(parts["y"]), int(parts["m"]), int(parts["d"]))
-        except ValueError:
-            return None
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
-        new = FIRST_DAY + timedelta(mapped("date", (LAST_DAY - FIRST_DAY).days + 1, (day - FIRST_DAY).days))
-        padded = all(len(p) > 1 for p in parts.values())
-        values = {"y": f"{new.year:04d}", "m": f"{new.month:02d}" if padded else str(new.month), "d": f"{new.day:02d}" if padded else str(new.day)}
-        return mark.join(values[c] for c in order)
+        mark = re.search("[^0-9]", found)[0]
+        numbers = found.split(mark)
+        for order in orders:
+            parts = dict(zip(order, numbers))
+            day = _day_of(int(parts["y"]), int(parts["m"]), int(parts["d"]))
+            if day:
+                new = _other_day(day, mapped)
+                padded = all(len(p) > 1 for p in numbers)
+                values = {"y": f"{new.year:04d}", "m": f"{new.month:02d}" if padded else str(new.month), "d": f"{new.day:02d}" if padded else str(new.day)}
+                return mark.join(values[c] for c in order)
+        return None
 
     return change
 
 
+def _month_date(m: re.Match, mapped: Map) -> str | None:
+    """A date with the name of its month, whole or of three letters."""
+    short = len(m["m"]) == 3 and m["m"] != "May"
+    day = _day_of(int(m["y"]), next(k for k, x in enumerate(_MONTHS, 1) if x.startswith(m["m"])), int(m["d"]))
+    if day is None:
+        return None
+    new, out, at = _other_day(day, mapped), [], m.start()
+    name = _MONTHS[new.month - 1]
+    written = {"d": f"{new.day:02d}" if m["d"][0] == "0" else str(new.day), "m": name[:3] if short else name, "y": str(new.year)}
+    for c in sorted("dmy", key=m.start):
+        out += [m.string[at:m.start(c)], written[c]]
+        at = m.end(c)
+    return "".join(out)
+
+
 def _iban(found: str, mapped: Map) -> str | None:
     chars = found.replace(" ", "")
     value = lambda x: int("".join(str(int(c, 36)) for c in x))
@@ -202,8 +284,8 @@ def _secret(found: str, mapped: Map) -> str:
     return new.upper() if upper else new
 
 
-_NUMBERS = {"ymd": ("date", _day("ymd", "-")), "dmy": ("date", _day("dmy", ".")), "mdy": ("date", _day("mdy", "/")),
-            "ssn": ("ssn", _ssn), "ip": ("ip", _ip), "phone": ("phone", _phone), "card": ("card", _card)}
+_NUMBERS = {"ymd": ("date", _day("ymd")), "dmy": ("date", _day("dmy")), "mdy": ("date", _day("mdy", "dmy")), "dmy_hyphen": ("date", _day("dmy", "mdy")),
+            "ssn": ("ssn", _ssn), "ip": ("ip", _ip), "phone": ("phone", _phone), "national": ("phone", _national), "card": ("card", _card)}
 
 
 def _numbers(text: str, start: int, end: int, mapped: Map) -> list[tuple[int, int, str, str]]:
@@ -218,7 +300,7 @@ def _numbers(text: str, start: int, end: int, mapped: Map) -> list[tuple[int, in
         shorter = [e for _, e in tokens[k:k + 12] if e < tried]
         for m in (m, *(pattern.fullmatch(text, first, e) for e in reversed(shorter))):
             if m:
-                kind, change = _NUMBERS[m.lastgroup]
+                kind, change = _NUMBERS[next(g for g in _NUMBERS if m[g] is not None)]
                 new = change(m[0], mapped)
                 if new is not None:
                     out.append((*m.span(), kind, new))
@@ -229,15 +311,22 @@ def _numbers(text: str, start: int, end: int, mapped: Map) -> list[tuple[int, in
     return out
 
 
-def _ibans(text: str, mapped: Map) -> list[tuple[int, int, str, str]]:
+def _small_iban(found: str, mapped: Map) -> str | None:
+    """An IBAN in small letters, of the length of its country, as there are words that look like one."""
+    known = len(found.replace(" ", "")) == _IBAN_LENGTHS.get(found[:2].upper())
+    new = _iban(found.upper(), mapped) if known else None
+    return new and new.lower()
+
+
+def _ibans(text: str, mapped: Map, pattern: re.Pattern = _IBAN, change: Callable[[str, Map], str | None] = _iban) -> list[tuple[int, int, str, str]]:
     """The valid IBANs: of each candidate the length of its country, then the longest; behind a failed one its later tokens."""
     out, at = [], 0
-    while m := _IBAN.search(text, at):
+    while m := pattern.search(text, at):
         first, at = m.start(), m.end()
         blanks = [m.start() + k for k, c in enumerate(m[0]) if c == " "]
-        ends = sorted([*blanks, at], key=lambda e: (e - first - text.count(" ", first, e) != _IBAN_LENGTHS.get(m[0][:2]), -e))
+        ends = sorted([*blanks, at], key=lambda e: (e - first - text.count(" ", first, e) != _IBAN_LENGTHS.get(m[0][:2].upper()), -e))
         for e in ends:
-            if (n := _IBAN.fullmatch(text, first, e)) and (new := _iban(n[0], mapped)) is not None:
+            if (n := pattern.fullmatch(text, first, e)) and (new := change(n[0], mapped)) is not None:
                 out.append((first, e, "iban", new))
                 at = e
                 break
@@ -254,7 +343,9 @@ def finds(text: str, mapped: Map) -> list[tuple[int, int, str, str]]:
     found += [(*m.span(), "secret", _secret(m[0], mapped)) for m in _SECRET.finditer(text)]
     if "@" in text:
         found += [(*m.span(), "email", _email(m[0], mapped)) for m in _EMAIL.finditer(text)]
-    found += _ibans(text, mapped)
+    found += _ibans(text, mapped) + _ibans(text, mapped, _SMALL_IBAN, _small_iban)
+    for pattern, kind, change in ((_IPV6, "ip", lambda m, to: _ipv6(m[0], to)), *((p, "date", _month_date) for p in _MONTH_DATES)):
+        found += [(*m.span(), kind, new) for m in pattern.finditer(text) if (new := change(m, mapped)) is not None]
     out, end = [], 0
     for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if f[0] >= end:

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import numpy as np
@@ -76,6 +77,59 @@ def test_phone_forms_are_linked():
         assert [pii.pseudonymise(new, p.backward)[0] for new, _ in done] == [f"call {f} now" for f in forms]
 
 
+#: Forms that hold a value, with the kind, and the form of the same value whose pseudonym must be the same.
+FORMS = [
+    ("25/12/2023", "date", "2023-12-25"), ("31-12-1999", "date", "31.12.1999"), ("12-31-1999", "date", "12/31/1999"), ("1999/12/31", "date", "1999-12-31"),
+    ("3 March 1999", "date", "1999-03-03"), ("March 3, 1999", "date", "3 Mar 1999"), ("May 9 2001", "date", "9 May 2001"), ("05 Sep 1987", "date", "1987-09-05"), ("5.9.1987", "date", "05.09.1987"), ("5/13/1987", "date", "1987-05-13"),
+    ("(555) 123-4567", "phone", "+1 555 123 4567"), ("555-123-4567", "phone", "+15551234567"), ("123 45 6789", "ssn", "123-45-6789"),
+    ("be68 5390 0754 7034", "iban", "BE68 5390 0754 7034"), ("2001:db8::1", "ip", "2001:0DB8:0:0:0:0:0:1"), ("fe80::1ff:fe23:4567:890a", "ip", "fe80:0:0:0:1ff:fe23:4567:890a")]
+
+
+@pytest.mark.parametrize("value, kind, other", FORMS)
+def test_forms_of_one_value_are_linked(value, kind, other):
+    p = pii.Permutation(b"key")
+    text = f"see {value} there"
+    new, spans = pii.pseudonymise(text, p.forward)
+    assert [s["kind"] for s in spans] == [kind] and value not in new
+    assert pii.pseudonymise(new, p.backward)[0] == text
+    # Back again, in the other form: the pseudonym of the other form holds the same value.
+    hidden, _ = pii.pseudonymise(other, p.forward)
+    shown = new[4:-6]
+    if kind == "date":
+        read = lambda x: next(d for d in written_days(x))
+        assert read(shown) == read(hidden)
+    elif kind == "ip":
+        assert shown.lower() == hidden.lower()
+    else:
+        digits = lambda x: re.sub(r"\W", "", x).lower()
+        assert digits(hidden).endswith(digits(shown))
+
+
+def written_days(text):
+    for form in ("%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y", "%d-%m-%Y", "%m-%d-%Y", "%d %B %Y", "%d %b %Y", "%B %d, %Y", "%B %d %Y"):
+        try:
+            yield datetime.strptime(text, form).date()
+        except ValueError:
+            pass
+
+
+@pytest.mark.parametrize("text", [
+    "31/31/2023", "2023/13/01", "2023-12/01", "000 12 3456", "123 45-6789", "std::vector a::b ::1 12:30:45 beef::cafe", "42 March 1999", "3 Marching 1999",
+    "be68 5390 0754 7035", "in12 word that then", "1555-123-4567", "555-123-45678"])
+def test_what_is_no_value_stays(text):
+    assert pii.pseudonymise(text, pii.Permutation(b"key").forward) == (text, [])
+
+
+def test_days_are_permuted_among_those_that_look_the_same():
+    p, days = pii.Permutation(b"key"), [date(1900, 1, 1), date(2099, 12, 31), date(2000, 2, 29), date(1999, 6, 12), date(1999, 6, 13)]
+    days += [date(2010, 1, 1) + timedelta(k) for k in range(400)]
+    new = [pii._other_day(d, p.forward) for d in days]
+    assert len(set(new)) == len(days)
+    assert [pii._look(n) for n in new] == [pii._look(d) for d in days]
+    assert min(len(x) for x in pii._days()[0].values()) == 1800
+    assert [pii._other_day(n, p.backward) for n in new] == days
+
+
 def test_pseudonyms_of_odd_rows(odd_docs, odd_rows, no_docs):
     done = pii.with_pseudonyms(odd_docs, b"key")
     assert done.columns == [*odd_docs.columns, "private"]
