@@ -16,7 +16,7 @@ from relist import schemas as S
 from relist.functions.arrays import map_trim_set, singleton_set
 from relist.functions.dates import relative_age_to_ts
 from relist.functions.strings import build_url, strip_prefix, trim_java
-from relist.operators.html_elements import Page, compile_path
+from relist.operators.html_elements import Finder, Page
 
 # The helper travels with the UDF, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(relist)
@@ -40,30 +40,32 @@ def html_rows(content: Column, root: str, fields: Sequence[HtmlField]) -> Column
     """All elements matching `root`, in page order, as an array of structs of the fields."""
     strings = T.ArrayType(T.StringType())
     row = T.StructType([T.StructField(f.name, strings if f.every else T.StringType()) for f in fields])
-    arrow_row = pa.list_(pa.struct([(f.name, pa.list_(pa.string()) if f.every else pa.string()) for f in fields]))
-    root_path = compile_path(root)
-    paths = [compile_path(f.path) if f.path else None for f in fields]
+    kinds = [pa.list_(pa.string()) if f.every else pa.string() for f in fields]
+    finder, seen = Finder(root, [f.path for f in fields]), {}
 
-    def read(page: Page, i: int, field: HtmlField, path: list | None):
-        found = [i] if path is None else page.select(path, i)
+    def read(page: Page, found: list[int], field: HtmlField):
         if not found:
             return None
         return [page.read(j, field.what) for j in found] if field.every else page.read(found[0], field.what)
 
-    def rows(html: str | None, seen: dict):
-        if html is None:
-            return None
+    def rows(html: str) -> list[list]:
         try:
             page = Page(html, seen)
-            return [{f.name: read(page, i, f, p) for f, p in zip(fields, paths)} for i in page.select(root_path)]
+            return [[read(page, x, f) for x, f in zip(found, fields)] for _, found in finder.find(page)]
         except (ValueError, IndexError, KeyError, RecursionError):
             # A page that cannot be read gives one listing without fields, which the field check reports.
-            return [{f.name: html if f.what == "outer" else None for f in fields}]
+            return [[html if f.what == "outer" else None for f in fields]]
 
     @F.arrow_udf(T.ArrayType(row))
     def extract(contents: pa.Array) -> pa.Array:
-        seen: dict = {}
-        return pa.array([rows(html.as_py(), seen) for html in contents], type=arrow_row)
+        columns, ends = [[] for _ in fields], [0]
+        for html in contents.to_pylist():
+            for values in [] if html is None else rows(html):
+                for column, value in zip(columns, values):
+                    column.append(value)
+            ends.append(len(columns[0]))
+        structs = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.name for f in fields])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=contents.is_null())
 
     return extract(content)
 
