@@ -162,6 +162,24 @@ def test_a_consumer_of_its_own(spark, root):
         feed.publish_changes(spark, root, hand_on=taken.append)
 
 
+def test_a_batch_of_messages_is_not_brought_together(spark, root):
+    """Neither the commit number nor the layout of the messages needs a shuffle that has a task for each batch."""
+    rows = spark.range(0, 4000, 1, 8).selectExpr(
+        "string(id) key", "repeat(string(id), 20) value", "timestamp '2024-01-01' captured_at", "int(id) page", "0 ordinal", "'s' source", "string(id) url", "true opened")
+    for number in (1, 2):
+        T.write_batch(rows, root, "changes", number)
+    log = commits.read_log(spark, root)
+    messages = feed.read_changes(spark, root, feed.pending(log), log)
+    assert "Exchange" not in messages._jdf.queryExecution().executedPlan().toString()
+    assert messages.where("commit_number <> batch_id").isEmpty() and messages.count() == 8000
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        feed.publish_changes(spark, root)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert feed.read_published(spark, root).select(F.input_file_name()).distinct().count() > 4
+
+
 def test_a_base_does_not_hide_a_batch_saved_again(spark, root):
     jobs.run_ingest(spark, root, json_raw(spark, json_page([hit(1), hit(2)])), 0, RUN)
     T.compact_postings(spark, root, 0)
