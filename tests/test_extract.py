@@ -16,7 +16,7 @@ from relist.operators import extract_json as J
 from relist.operators import parsers
 from relist.operators import registry as R
 from relist.operators import validate as V
-from relist.operators.html_elements import Page, compile_path
+from relist.operators.html_elements import Finder, Page, compile_path
 from relist.schemas import CARD_PATH, HTML_SOURCE, JSON_SOURCE
 
 
@@ -84,6 +84,24 @@ def test_nested_and_scripted_cards():
     assert [page.text(i) for i in page.select(path)] == ["1 2", "2"]
 
 
+@pytest.mark.parametrize("html", [
+    "<div class=job>1<a>x</a><p><a>y<div class=job>2<a>z</div></div><a>out</a>", "<title>a &lt;div class=job></title><div class=job><a>b</div>",
+    "<div class=job><script>'<a>'</script><textarea><a></textarea><a>c</a></div><div class=job>", "<a><div class='job' ><b><a>d", "", "<!--<div class=job>"])
+def test_one_walk_finds_what_each_path_finds(html):
+    paths = ["a", "div.job > a", "b a", None]
+    page, finder = Page(html), Finder("div.job", paths)
+    each = [(r, [[r] if p is None else page.select(compile_path(p), r) for p in paths]) for r in page.select(compile_path("div.job"))]
+    assert finder.find(page) == finder.find(page) == each
+
+
+def test_a_tag_is_understood_once():
+    seen = {}
+    for _ in range(3):
+        Page("<div class=job><a href=x>t</a><a href=x>u</a></div>", seen)
+    assert sorted(seen) == ["</a>", "</div>", "<a href=x>", "<div class=job>"]
+    assert [Page("<title>a<b>&amp;</title><p>c", seen).text(i) for i in (0, 1)] == ["a<b>&", "c"]
+
+
 def test_unclosed_tags():
     page = Page("<ul><li><b>one<li>two</ul><p>x<p>y<div>z")
     assert [page.text(i) for i in page.select(compile_path("li"))] == ["one", "two"]
