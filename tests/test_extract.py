@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import os
 import subprocess
 import sys
@@ -16,7 +17,7 @@ from relist.operators import extract_json as J
 from relist.operators import parsers
 from relist.operators import registry as R
 from relist.operators import validate as V
-from relist.operators.html_elements import Finder, Page, compile_path
+from relist.operators.html_elements import TOKEN, Finder, Page, Walker, compile_path
 from relist.schemas import CARD_PATH, HTML_SOURCE, JSON_SOURCE
 
 
@@ -94,6 +95,28 @@ def test_one_walk_finds_what_each_path_finds(html):
     assert finder.find(page) == finder.find(page) == each
 
 
+ODD_PARTS = [
+    '<div class=r>', '<div class="r x">', '</div>', '<p>', '</p>', '<li>', '</li>', '<ul>', '</ul>', '<a href="u>v" id=q>', '<a href=u>', '</a>', '<b>',
+    '</b>', '<br>', '<img class=i src="a>b">', ' text ', 'a &amp; b', '<!-- <div class=r> -->', '<!-->', '< 3', '<title>t<b>x</title>', '<td>', '<tr>',
+    '</table>', '<span class=s title=\'<b>\'>', '</span>', '<a b="', '"', '>', '<textarea>a<p>', '</textarea>', '<a <b>', '</div x="a>b">', '\n\t', '</ >']
+
+
+@pytest.mark.parametrize("root", ["div.r", "body div", "p", "a", "li", "title", "ul > li"])
+def test_a_walk_without_a_page_gives_the_same_values(root):
+    paths, whats = ["a", ".s", "li", "div > p", ".i", None, None, "ul li a", "textarea"], ["@href", "text", "text", "text", "@src", "text", "outer", "outer", "text"]
+    walker, finder, dice, walked = Walker(root, paths), Finder(root, paths), random.Random(root), 0
+    for _ in range(1500):
+        html = "".join(dice.choices(ODD_PARTS, k=dice.randrange(1, 40)))
+        page, pieces = Page(html), TOKEN.split(html)
+        found = walker.find(pieces)
+        if found is None:
+            continue
+        walked += 1
+        values = [[[e.read(pieces, w, walker.seen) for e in x] for x, w in zip(each, whats)] for each in found]
+        assert values == [[[page.read(i, w) for i in x] for x, w in zip(each, whats)] for _, each in finder.find(page)], html
+    assert walked > 1000
+
+
 def test_a_tag_is_understood_once():
     seen = {}
     for _ in range(3):
