@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-import random
 import os
+import random
 import subprocess
 import sys
 from datetime import datetime

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relist import schemas as S
 from relist.operators import accounting as A
+from relist.operators import episodes, skew
 from relist.plans import jobs
 from relist.schemas import HTML_SOURCE, JSON_SOURCE
 from relist.sinks import feed
@@ -363,3 +364,19 @@ def test_totals_are_counted_while_writing(spark, root):
         result.release()
         assert result.totals.columns == list(A.TOTALS)
         assert result.totals.first() == counted
+
+
+def test_keys_are_counted_once_however_many_rounds(spark, root, monkeypatch):
+    counted, count = [], skew.larger_keys
+    for module in (skew, episodes):
+        monkeypatch.setattr(module, "larger_keys", lambda *args, **kw: counted.append(1) or count(*args, **kw))
+    folds, fold = [], episodes.posting_episodes
+    monkeypatch.setattr(episodes, "posting_episodes", lambda *args, **kw: folds.append(1) or fold(*args, **kw))
+    result = jobs.run_ingest(spark, root, html_raw(spark, html_cards(1), html_cards(1), html_cards(1)), 0, RUN)
+    assert result.pages.count() == 2 and len(folds) > 1 and len(counted) == 1
+
+
+def test_a_table_without_batches_is_empty_in_the_plan(spark, root):
+    rows = T.read_table(spark, root, "postings")
+    plan = spark.range(3).join(rows, F.col("id") == F.col("batch_id"), "left")._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.isEmpty() and "Join" not in plan
