@@ -13,7 +13,7 @@ from relist.operators.episodes import posting_episodes
 from relist.operators.reconcile import EXISTING
 from relist.sources import pages as P
 from relist.streaming.ingest import stream_foreach
-from relist.streaming.state import STATE_SETTINGS, stream_keyed_episodes
+from relist.streaming.state import STATE_SETTINGS, EpisodeFold, stream_keyed_episodes
 
 DAY0 = datetime(2024, 1, 1)
 SIGHTINGS = "source string, url string, posting_date timestamp, captured_at timestamp, page int, ordinal int"
@@ -140,3 +140,36 @@ def test_a_busy_source_does_not_hold_up_a_quiet_one(spark, tmp_path):
 def test_paces_are_checked(spark, tmp_path, paces):
     with pytest.raises(ValueError):
         P.stream_paced_pages(spark, str(tmp_path), paces)
+
+
+class _Map:
+    def __init__(self):
+        self.rows, self.reads = {}, []
+
+    def exists(self):
+        return bool(self.rows)
+
+    def getValue(self, key):
+        self.reads.append(key)
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+
+def test_a_call_folds_all_keys_of_a_group():
+    """The keys of a group share a call; each reads and writes its own entry, and none is read while the group is empty."""
+    state, fold = _Map(), EpisodeFold()
+
+    class Handle:
+        def getMapState(self, *_):
+            return state
+
+    fold.init(Handle())
+    rows = [(7, "s", url, date, date + 30, date, 1, 0) for url in "ab" for date in (50, 0, 10, 40)]
+    go = lambda given: [tuple(r) for r in fold.handleInputRows((7,), iter(given), None)]
+    assert go(rows) == [("s", u, d) for u in "ab" for d in (0, 40)]
+    assert state.reads == []
+    assert go([(7, "s", "b", 80, 110, 80, 1, 0), (7, "s", None, 1, 31, 80, 1, 0)]) == [("s", "b", 80), ("s", None, 1)]
+    assert state.reads == [("s", "b"), ("s", None)]
+    assert state.rows == {("s", "a"): (40, 70), ("s", "b"): (80, 110), ("s", None): (1, 31)}
