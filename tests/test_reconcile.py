@@ -186,3 +186,29 @@ def test_frontier(spark, end_page, kept):
     assert sorted(r.page for r in got.where("source = 'a'").collect()) == kept
     stop = 5 if end_page in (None, 9) else max(end_page, 1)
     assert sorted(r.page for r in got.where("source = 'b'").collect()) == list(range(1, stop + 1))
+
+
+def _ordered(df):
+    return sorted(map(str, df.select("source", "url", "posting_date", "captured_at", "page", "ordinal", "outcome", "posting_id", "episode_start", "repost_index").collect()))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_walk_goes_on_over_arrow_batches(spark, kind):
+    """One key over several Arrow batches, with copies and missing dates, beside small keys, equals the fold by starts."""
+    hot = [("a", "hot", (k * 7) % 211 if k % 50 else None, k // 2, 1, 0) for k in range(700)]
+    rows = hot + hot[250:260] + [("a", f"u{k}", k, k, 1, 0) for k in range(40)] + [("a", "none", None, 1, 1, 0), ("a", "none", 5, 2, 1, 0), (None, "x", 1, 1, 1, 0)]
+    day = "timestamp '2024-01-01' + make_interval(0, 0, 0, {})"
+    df = spark.createDataFrame(rows, "source string, url string, d int, c int, page int, ordinal int").selectExpr(
+        "source", "url", f"cast({day.format('d')} as {kind}) posting_date", f"{day.format('c')} captured_at", "page", "ordinal")
+    table = spark.sql(f"SELECT 'a' source, 'u7' url, 'mine' posting_id, cast(timestamp '2023-12-20' as {kind}) posting_date")
+    for known in (None, table):
+        walked = E.posting_episodes(df, known)
+        assert walked.schema["episode_start"].dataType.simpleString() == kind
+        assert _ordered(walked) == _ordered(E.posting_episodes(df, known, fold_limit=300))
+
+
+def test_episodes_move_the_sightings_once(spark):
+    """Sightings of ordinary keys are shuffled once and not joined to their own starts."""
+    rows = spark.range(100).selectExpr("'a' source", "concat('u', id % 9) url", "timestamp_seconds(id * 1000000) posting_date", "timestamp_seconds(id) captured_at", "1 page", "0 ordinal")
+    plan = E.posting_episodes(rows, counted=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
