@@ -51,8 +51,8 @@ def json_long(v: Column, path: str) -> Column:
     digits = regex_capture(text, r"^(-?\d+)(?:\.0*)?\z", 1)
     exponent = json_path(v, path, "double")
     return (
-        F.when((kind == "BIGINT") | (kind == "STRING") | F.startswith(kind, F.lit("DECIMAL")),
-               digits.try_cast("bigint"))
+        F.when(kind == "BIGINT", json_path(v, path, "bigint"))  # read as it is; patterns are for the other forms
+        .when((kind == "STRING") | F.startswith(kind, F.lit("DECIMAL")), digits.try_cast("bigint"))
         .when((kind == "DOUBLE") & (exponent == F.floor(exponent)), exponent.try_cast("bigint"))
     )
 

@@ -134,3 +134,12 @@ def test_typed_json(spark, text, long, string, strings):
 ])
 def test_json_is_one_value(spark, text, ok):
     assert one(spark, t=text).select(J.json_parse(F.col("t")).isNotNull().alias("ok")).first().ok is ok
+
+
+def test_json_long_reads_whole_numbers_directly(spark):
+    """A whole number needs no pattern, whatever its size; the other forms read as before."""
+    texts = ["0", "-0", "7", "-12", "9223372036854775807", "-9223372036854775808", "9223372036854775808", "5.0", "5.5", "1e3", '"12"', '"12.0"', '"x"', "true", "null", "[1]"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", F.try_parse_json("t").alias("v"))
+    read = df.select("k", J.json_long(F.col("v"), "$").alias("n"))
+    assert [r.n for r in read.orderBy("k").collect()] == [0, 0, 7, -12, 2 ** 63 - 1, -2 ** 63, None, 5, None, 1000, 12, 12, None, None, None, None]
+    assert "LongType" in read._jdf.queryExecution().optimizedPlan().toString()
