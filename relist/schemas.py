@@ -28,6 +28,7 @@ REQUIRED_FIELDS = (
     ("locations", "Missing locations"),
 )
 INVALID_JSON_PREFIX = "Cannot parse job source as json. Failure message: "
+INVALID_HTML_PREFIX = "Cannot parse page: "
 # Element paths of an HTML list page.
 CARD_PATH = "#search-results #jobs div.job"
 CARD_TITLE_LINK = ".job_content > .job__description > .job__body > .details > .title > a"

@@ -44,18 +44,18 @@ SELECT raw_page_id, ordinal, CASE WHEN lack <> 0 THEN ' /it-jobs/' || o_custkey
 FROM cards JOIN (SELECT 'html-' || o_orderkey AS raw_page_id, i - 1 AS ordinal, lack, o_custkey, i, o_orderstatus FROM card)
      USING (raw_page_id, ordinal)""")
 def explode_html_cards(spark, sf):
-    return flat(H.explode_html_cards(html_list_pages(spark, sf)).select(
+    return flat(H.only_cards(H.explode_html_cards(html_list_pages(spark, sf))).select(
         "raw_page_id", "ordinal", "href_raw", "title_raw", "tags_raw", "company_href_raw", "city_raw"))
 
 
 @query("html_card_fields", f"WITH {HTML_CARDS} SELECT {SQL_FIELDS} FROM cards")
 def html_card_fields(spark, sf):
-    return _shown(H.extract_html_pages(html_list_pages(spark, sf)))
+    return _shown(H.only_cards(H.extract_html_pages(html_list_pages(spark, sf))))
 
 
 @query("card_ordinal", f"WITH {HTML_CARDS} SELECT raw_page_id, ordinal, url FROM cards")
 def card_ordinal(spark, sf):
-    return flat(H.extract_html_pages(html_list_pages(spark, sf)).select("raw_page_id", "ordinal", "url"))
+    return flat(H.only_cards(H.extract_html_pages(html_list_pages(spark, sf))).select("raw_page_id", "ordinal", "url"))
 
 
 @query("html_select_all", f"""

@@ -295,3 +295,36 @@ def test_arguments_of_a_parser_are_checked(spark, pairs, call):
 def test_names_of_table_functions_are_checked():
     with pytest.raises(ValueError):
         parsers.table_extractor("f(x); --", "https://a")
+
+
+def test_a_number_beyond_all_characters_does_not_break_a_page(spark):
+    """Python reads no number of more than 4300 digits; the standard has U+FFFD for it, and zeros in front do not count."""
+    far, near = f"&#{'9' * 5000};", f"&#{'0' * 5000}65;"
+    rows = checked(html_raw(spark, html_page([card(title=f"a{far}b{near}"), card(company=f"/companies/{far}x"), card()])))
+    assert [(r.ordinal, r.title, r.company, r.errors) for r in rows] == [
+        (0, "a\ufffdbA", "ACME", []), (1, "Title", "\ufffdx", []), (2, "Title", "ACME", [])]
+
+
+def test_a_page_that_cannot_be_read_is_an_error_and_no_listing(spark, monkeypatch):
+    class Breaks:
+        def split(self, html):
+            if "<broken>" in html:
+                raise IndexError("no such piece")
+            return self.token.split(html)
+
+    token = Breaks()
+    token.token = TOKEN
+    monkeypatch.setattr(H, "TOKEN", token)
+    pages = html_raw(spark, html_cards(2), "<broken>" + html_cards(2))
+    message = "Cannot parse page: IndexError: no such piece"
+    found = H.explode_html_cards(pages).orderBy("page", "ordinal").collect()
+    assert [(r.ordinal, r.page_error) for r in found] == [(0, None), (1, None), (0, message)]
+    assert all(found[2][f.name] is None for f in H.CARD_FIELDS)
+    rows = checked(pages)
+    assert [(r.page, r.errors) for r in rows] == [(1, []), (1, []), (2, [message])]
+    assert rows[2].raw_fragment == "" and rows[2].page_error == message
+    # Where no column has room for the error the query fails, be it a count of cards or a text.
+    for use in (H.only_cards(H.explode_html_cards(pages)), H.only_cards(H.extract_html_pages(pages)).select("url"),
+                pages.select(F.size(H.html_rows(F.col("content"), CARD_PATH, [H.HtmlField("text")]))), pages.select(H.html_select_first(F.col("content"), "a"))):
+        with pytest.raises(Exception, match="no such piece"):
+            use.collect()
