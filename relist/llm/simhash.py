@@ -131,7 +131,8 @@ def near_links(fps: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(_SIGNED)])
     postings = fps.select("fp", F.explode(keys).alias("key"))
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    listed = materialize(postings.join(shared, "key"), "postings")
+    # Spark sizes the postings by the file of fingerprints, as if a row had one key: below its limit it would broadcast all 70 of each.
+    listed = materialize(postings.hint("merge").join(shared, "key"), "postings")
     short = listed.where(F.col("members") <= limit).groupBy("key").agg(F.collect_list("fp").alias("fps"))
     linked = short.select(F.explode(F.arrow_udf(_list_links, "array<struct<a:bigint,b:bigint>>").asNondeterministic()("fps")).alias("l")).select("l.a", "l.b")
     crowded = listed.where(F.col("members") > limit).select("fp").distinct()

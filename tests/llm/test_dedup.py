@@ -214,3 +214,28 @@ def test_words_made_to_collide_are_different_words(spark):
     done = substring.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert [r.n_removed for r in done.collect()] == [0, 0]
     assert len(np.unique(substring.word_keys([one.encode(), two.encode(), one.encode()]), axis=0)) == 2
+
+
+def explodes_broadcast(frame):
+    """Whether the plan of a frame broadcasts what an explode gives, which Spark sizes as if each row stayed one."""
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(re.match(r"[\s:|+-]*", line)[0]) for line in plan]
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = [x for x, d in zip(plan[at + 1:], depth[at + 1:])][:next((k for k, d in enumerate(depth[at + 1:]) if d <= depth[at]), None)]
+            if any("Generate explode" in x for x in below):
+                return True
+    return False
+
+
+def written_plans(monkeypatch):
+    frames = []
+    monkeypatch.setattr(simhash, "materialize", lambda df, name, write=simhash.materialize: (frames.append((name, df)), write(df, name))[1])
+    return frames
+
+
+def test_postings_are_not_broadcast(spark, monkeypatch):
+    """The file of the fingerprints is far below the limit of a broadcast, the postings made of it need not be."""
+    frames = written_plans(monkeypatch)
+    simhash.near_links(simhash.materialize(spark.range(2000).select(F.xxhash64("id").alias("fp")), "fps"))
+    assert "postings" in dict(frames) and not any(explodes_broadcast(df) for _, df in frames)
