@@ -12,9 +12,13 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from relist.llm import exact, simhash, substring
+import corpus_pipeline
+from relist.llm import components as links_of
+from relist.llm import decontaminate, exact, simhash, substring
 from relist.llm.components import smallest_reachable
 
+SF = "/root/testdata/sf0.001"
+
 
 def normal(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
@@ -228,14 +232,22 @@ def explodes_broadcast(frame):
     return False
 
 
-def written_plans(monkeypatch):
+def written_plans(monkeypatch, *modules):
     frames = []
-    monkeypatch.setattr(simhash, "materialize", lambda df, name, write=simhash.materialize: (frames.append((name, df)), write(df, name))[1])
+    for m in modules:
+        monkeypatch.setattr(m, "materialize", lambda df, name, write=m.materialize: (frames.append((name, df)), write(df, name))[1])
     return frames
 
 
 def test_postings_are_not_broadcast(spark, monkeypatch):
     """The file of the fingerprints is far below the limit of a broadcast, the postings made of it need not be."""
-    frames = written_plans(monkeypatch)
+    frames = written_plans(monkeypatch, simhash)
     simhash.near_links(simhash.materialize(spark.range(2000).select(F.xxhash64("id").alias("fp")), "fps"))
     assert "postings" in dict(frames) and not any(explodes_broadcast(df) for _, df in frames)
+
+
+def test_the_pipeline_broadcasts_nothing_it_has_exploded(spark, monkeypatch):
+    frames = written_plans(monkeypatch, corpus_pipeline, links_of, decontaminate, exact, simhash)
+    out = corpus_pipeline.run(spark, SF)
+    assert {"postings", *[name for name, _ in corpus_pipeline.STAGES[:-1]]} <= {name for name, _ in frames}
+    assert not any(explodes_broadcast(df) for df in (*[df for _, df in frames], out))
