@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from relist.operators.episodes import posting_episodes
 from relist.operators.reconcile import EXISTING
 from relist.sources import pages as P
 from relist.streaming.ingest import stream_foreach
+from relist.streaming import state as K
 from relist.streaming.state import STATE_SETTINGS, EpisodeFold, stream_keyed_episodes
 
 DAY0 = datetime(2024, 1, 1)
@@ -173,3 +175,29 @@ def test_a_call_folds_all_keys_of_a_group():
     assert go([(7, "s", "b", 80, 110, 80, 1, 0), (7, "s", None, 1, 31, 80, 1, 0)]) == [("s", "b", 80), ("s", None, 1)]
     assert state.reads == [("s", "b"), ("s", None)]
     assert state.rows == {("s", "a"): (40, 70), ("s", "b"): (80, 110), ("s", None): (1, 31)}
+
+
+def test_packed_arrivals_open_what_single_ones_open(monkeypatch):
+    """A group crosses to the state as one row of each pack, however many arrivals it has; keys may be null, arrivals equal."""
+    monkeypatch.setattr(K, "PACKED_ROWS", 700)
+    monkeypatch.setattr(K, "STARTS", 7)
+    dice, states = random.Random(1), [_Map(), _Map()]
+    folds = [EpisodeFold(), K.PackedFold()]
+    for fold, state in zip(folds, states):
+        fold.init(type("Handle", (), {"getMapState": lambda self, *_, state=state: state})())
+    names = ["key_group", "source", "url", "posting_us", "next_us", "captured_us", "page", "ordinal"]
+    for batch in range(3):
+        rows = []
+        for _ in range(2000):
+            date, url = dice.randint(0, 400), dice.choice([None, *"abcdefgh", "ü\0x", ""])
+            rows.append((dice.randint(0, 2), dice.choice(["s", "t", None]), url, date, date + 30, 1000 * batch + dice.randint(0, 300), dice.randint(1, 2), dice.randint(0, 1)))
+        parts = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[k:k + 256]]) for k in range(0, len(rows), 256)]
+        packed = [tuple(r.values()) for b in K._packed(iter(parts)) for r in b.to_pylist()]
+        assert len(packed) == 3 * 3
+        for group in range(3):
+            plain = folds[0].handleInputRows((group,), (r for r in rows if r[0] == group), None)
+            several = list(folds[1].handleInputRows((group,), (r for r in packed if r[0] == group), None))
+            assert all(len(r.urls) <= 7 for r in several)
+            key = lambda r: tuple(map(repr, r))
+            assert sorted((tuple(r) for r in plain), key=key) == sorted((x for r in several for x in zip(r.sources, r.urls, r.posting_us)), key=key)
+        assert states[0].rows == states[1].rows
